@@ -82,14 +82,11 @@ def key_coverage(df: DataFrame, by: str, key: str) -> DataFrame:
     )
 
 
-def coverage(df: DataFrame, by: Sequence[str], covered: Column, weight: str | None = None,
-             digits: int = 1) -> DataFrame:
-    """Total, uncovered and covered share per group; ``weight`` counts pre-aggregated rows."""
-    size = F.lit(1) if weight is None else F.col(weight)
+def coverage(df: DataFrame, by: Sequence[str], covered: Column, digits: int = 1) -> DataFrame:
+    """Total, uncovered and covered share per group, the share rounded."""
     return (
         df.groupBy(*by)
-        .agg(F.sum(size).cast("bigint").alias("total"),
-             F.sum(F.when(covered, 0).otherwise(size)).cast("bigint").alias("missing"))
+        .agg(F.count("*").alias("total"), rows_where(~covered).alias("missing"))
         .withColumn("pct_covered",
                     F.round(percent(F.col("total") - F.col("missing"), F.col("total")), digits))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmaq.plans import vocabulary as V
@@ -41,7 +42,10 @@ def companies(spark: SparkSession, folder: str, file: str) -> DataFrame:
 
 
 def operation_codes(spark: SparkSession) -> DataFrame:
-    """The curated seed of operation codes."""
-    return spark.createDataFrame(
-        V.OPERATION_CODES, "domain string, code string, description string"
-    )
+    """The curated seed of operation codes.
+
+    An Arrow table becomes a local relation, whose exact size lets Catalyst broadcast it.
+    """
+    columns = zip(*V.OPERATION_CODES, strict=True)
+    seed = pa.table(dict(zip(["domain", "code", "description"], columns, strict=True)))
+    return spark.createDataFrame(seed)

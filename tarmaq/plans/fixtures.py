@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmaq.plans import bronze, gold, silver
+from tarmaq.plans import bronze, contract, gold, silver
 from tarmaq.plans import vocabulary as V
 from tarmaq.sources.delimited import INGESTED_AT, SOURCE_FILE
-from tarmaq.sources.shared import settle
+from tarmaq.sources.shared import fingerprint, stored_once
 
 
 def _minutes(amount: Column) -> Column:
@@ -128,7 +129,12 @@ def raw_aerodromes(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 @dataclass
 class Flights:
-    """The layers of the flight model over one folder of benchmark tables, built on demand."""
+    """The layers of the flight model over one folder of benchmark tables, built on demand.
+
+    ``silver``, ``airports``, ``fact`` and ``obt`` are tables, as in any layered lake: the
+    first use in an application writes them to the shared folder, later uses read them.
+    The ``derived_*`` forms are the same plans, not written.
+    """
 
     spark: SparkSession
     folder: str
@@ -136,6 +142,14 @@ class Flights:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def _trace(self) -> str:
+        inputs = ["lineitem", "supplier", "nation", "region"]
+        return fingerprint(self.spark, *[f"{self.folder}/{name}.parquet" for name in inputs])
+
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return stored_once(self.spark, f"{self._trace}/{name}", build)
+
     @cached_property
     def bronze(self) -> DataFrame:
         return raw_steps(self.table("lineitem"))
@@ -152,10 +166,6 @@ class Flights:
     def bronze_aerodromes(self) -> DataFrame:
         return raw_aerodromes(self.table("nation"), self.table("region"))
 
-    @cached_property
-    def silver(self) -> DataFrame:
-        return silver.flights(self.bronze)
-
     @cached_property
     def airlines(self) -> DataFrame:
         return silver.airlines({"national": self.national, "foreign": self.foreign})
@@ -168,14 +178,34 @@ class Flights:
     def codes(self) -> DataFrame:
         return silver.operation_codes(bronze.operation_codes(self.spark))
 
+    def derived_silver(self) -> DataFrame:
+        return silver.flights(self.bronze)
+
+    def derived_airports(self) -> DataFrame:
+        return gold.dim_airport(self.silver, self.aerodromes)
+
+    def derived_fact(self) -> DataFrame:
+        return gold.fact_flights(self.silver, self.airlines, self.codes)
+
+    def derived_obt(self) -> DataFrame:
+        return gold.obt_flights(self.fact, self.airports)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return self._stored("silver_vra", self.derived_silver)
+
     @cached_property
     def airports(self) -> DataFrame:
-        return gold.dim_airport(self.silver, self.aerodromes)
+        return self._stored("dim_airport", self.derived_airports)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return gold.fact_flights(self.silver, self.airlines, self.codes)
+        return self._stored("fact_flights", self.derived_fact)
 
     @cached_property
     def obt(self) -> DataFrame:
-        return gold.obt_flights(self.fact, settle(self.airports, "dim-airport"))
+        return self._stored("obt_flights", self.derived_obt)
+
+    @cached_property
+    def marked(self) -> DataFrame:
+        return contract.marked(self.silver, self.airlines, self.aerodromes)

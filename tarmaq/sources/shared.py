@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmaq.session import shared_folder
+from tarmaq.sources.snapshots import read_snapshot, write_snapshot
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -20,3 +23,23 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/tarmaq/{label}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """A text that changes when a file under ``paths`` is added, removed or rewritten.
+
+    Only names, sizes and times are read, never contents.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    trace = files.agg(F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()[0]
+    return f"{(trace or 0) & (2**64 - 1):016x}"
+
+
+def stored_once(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table ``key`` of this application in the shared folder, built on first use."""
+    root = f"{shared_folder(spark)}/tarmaq/{spark.sparkContext.applicationId}/{key}"
+    try:
+        return read_snapshot(spark, root)
+    except FileNotFoundError:
+        write_snapshot(build(), root)
+        return read_snapshot(spark, root)

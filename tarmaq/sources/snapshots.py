@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +19,25 @@ def snapshot_path(root: str, version: int) -> str:
     return f"{root}/_snapshot={version}"
 
 
+def _ledger(spark: SparkSession, root: str) -> DataFrame | None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/ledger")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/ledger")
+
+
 def load_history(spark: SparkSession, root: str) -> DataFrame:
     """One row per completed load, in version order. Empty if there was none."""
-    try:
-        ledger = spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/ledger")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    ledger = _ledger(spark, root)
+    if ledger is None:
         ledger = spark.createDataFrame([], LEDGER_SCHEMA)
     return ledger.orderBy("version")
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    return load_history(spark, root).agg(F.max("version")).first()[0]
+    ledger = _ledger(spark, root)
+    return None if ledger is None else ledger.agg(F.max("version")).first()[0]
 
 
 def write_snapshot(df: DataFrame, root: str, operation: str = "overwrite",
