@@ -346,13 +346,15 @@ QUERIES = {
         GROUP BY ALL""",
     "anti_join_not_in": """
         SELECT c_custkey, c_name, c_mktsegment FROM customer
-        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""",
+        WHERE NOT EXISTS (SELECT 1 FROM orders
+                          WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""",
     "not_in_plain": """
         SELECT c_custkey, c_name, c_mktsegment FROM customer
-        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""",
+        WHERE c_custkey NOT IN
+          (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
     "anti_join_null_aware": """
-        WITH buyers AS (SELECT CASE WHEN o_orderkey % 1000 <> 0 THEN o_custkey END AS buyer
-                        FROM orders)
+        WITH buyers AS (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS buyer
+                        FROM orders WHERE o_orderpriority = '1-URGENT')
         SELECT 'not in' AS table_name, count(*) AS rows FROM customer
         WHERE c_custkey NOT IN (SELECT buyer FROM buyers)
         UNION ALL

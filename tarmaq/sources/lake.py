@@ -37,6 +37,13 @@ class Lake:
             self.spark.catalog.recoverPartitions(name)
         return self.read(name)
 
+    def append(self, name: str, df: DataFrame) -> None:
+        """Add rows to a log table, which has no snapshots."""
+        df.coalesce(1).write.mode("append").parquet(self._folder(name))
+
+    def read_appended(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self._folder(name))
+
     def read(self, name: str, version: int | None = None) -> DataFrame:
         """A table by name; an earlier version on request."""
         return read_snapshot(self.spark, self._folder(name), version)
