@@ -259,6 +259,9 @@ QUERIES = {
             "scheduled_departure", "actual_departure", "scheduled_arrival", "actual_arrival",
             "departure_delay_min", "arrival_delay_min", "minutes_recovered"]) + " FROM silver",
     "decimal_comma_cast": "SELECT * FROM aerodromes",
+    "decimal_comma_balances": """
+        SELECT c_custkey, CASE WHEN c_custkey % 17 <> 0 THEN c_acctbal END AS balance
+        FROM customer""",
     "conform_union": "SELECT * FROM airlines",
     "registry_key_coverage": """
         SELECT registry_origin, count(*) AS rows, count(*) FILTER (icao <> '') AS with_key

@@ -143,9 +143,12 @@ def distinct_values(df: DataFrame, columns: Sequence[str], name: str) -> DataFra
 
 def lineage_edges(run_log: DataFrame, source: str, target: str, day: str, as_of: Column,
                   days: int = 7, prefix: str = "", blank: str = "(file)") -> DataFrame:
-    """Distinct source and target pairs of the last ``days`` days, blank sources labelled."""
+    """Distinct source and target pairs of the last ``days`` days, blank sources labelled.
+
+    The bare column is compared, so that the bound reaches the scan.
+    """
     recent = run_log.where(
-        (named(day).cast("date") >= F.date_sub(as_of, days)) & named(target).startswith(prefix)
+        (named(day) >= F.date_sub(as_of, days)) & named(target).startswith(prefix)
     )
     label = F.coalesce(F.nullif(named(source), F.lit("")), F.lit(blank))
     return recent.select(label.alias("source"), named(target).alias("target")).distinct()

@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmaq.functions.typing import decimal_comma
 from tarmaq.operators import audit, lookup, quality
 from tarmaq.operators.dedup import first_per_key, repeated_keys
 from tarmaq.plans import consumption, contract, gold, silver
@@ -78,6 +79,14 @@ def decimal_comma_cast(f: Flights) -> DataFrame:
     return timeless(f.aerodromes)
 
 
+@query
+def decimal_comma_balances(f: Flights) -> DataFrame:
+    """Balances written with a decimal comma, some unreadable, read back as numbers."""
+    text = F.when(F.col("c_custkey") % 17 == 0, "N/D").otherwise(
+        F.translate(F.col("c_acctbal").cast("string"), ".", ","))
+    return f.table("customer").select("c_custkey", decimal_comma(text).alias("balance"))
+
+
 @query
 def conform_union(f: Flights) -> DataFrame:
     return timeless(f.airlines)

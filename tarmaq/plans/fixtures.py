@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tarmaq.sources.shared import fingerprint, stored_once
 
 
 def _minutes(amount: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), amount.cast("int"), F.lit(0))
+    return F.lit(timedelta(minutes=1)) * amount
 
 
 def _airport(key: str) -> Column:

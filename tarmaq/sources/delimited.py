@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from tarmaq.functions.typing import named
 
@@ -40,17 +41,20 @@ def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "U
 
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                    sep: str = ";", encoding: str = "UTF-8", quote: str = '"',
-                   escape: str | None = None) -> DataFrame:
+                   escape: str | None = None,
+                   reader: DataFrameReader | DataStreamReader | None = None) -> DataFrame:
     """All-string rows of every file under ``path``, one preamble line and one header each.
 
     ``header`` drops the first line of each file, which is the preamble, in whichever
     split it falls. The header line that is left equals the column names and is filtered,
-    so files stay splittable and nothing is skipped by position on the driver.
+    so files stay splittable and nothing is skipped by position on the driver. Pass
+    ``spark.readStream`` as ``reader`` to follow a folder.
     """
     if columns is None:
         columns = header_of(spark, path, sep, encoding, quote)
     reader = (
-        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        (reader or spark.read)
+        .schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
         .option("sep", sep)
         .option("header", "true")
         .option("enforceSchema", "true")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmaq.session import shared_folder
-from tarmaq.sources.snapshots import read_snapshot, write_snapshot
+from tarmaq.sources.snapshots import latest_version, read_snapshot, write_snapshot
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -35,11 +36,18 @@ def fingerprint(spark: SparkSession, *paths: str) -> str:
     return f"{(trace or 0) & (2**64 - 1):016x}"
 
 
+_building = Lock()
+
+
 def stored_once(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``key`` of this application in the shared folder, built on first use."""
+    """The table ``key`` of this application in the shared folder, built on first use.
+
+    ``build`` runs before the lock is taken, so it may itself ask for stored tables.
+    """
     root = f"{shared_folder(spark)}/tarmaq/{spark.sparkContext.applicationId}/{key}"
-    try:
-        return read_snapshot(spark, root)
-    except FileNotFoundError:
-        write_snapshot(build(), root)
-        return read_snapshot(spark, root)
+    if latest_version(spark, root) is None:
+        plan = build()
+        with _building:
+            if latest_version(spark, root) is None:
+                write_snapshot(plan, root)
+    return read_snapshot(spark, root)

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
     session = local_session(
         4,
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="10000",
         spark__checkpoint__dir=str(folder / "shared"),
         spark__sql__warehouse__dir=str(folder / "warehouse"),
     )
