@@ -3,27 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from threading import Lock
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tarmaq.functions.typing import named
 from tarmaq.session import shared_folder
 from tarmaq.sources.snapshots import latest_version, read_snapshot, write_snapshot
 
 
+LARGEST_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the written table.
+    """Write ``df`` once to the shared folder and return the written table, for use in joins.
 
-    A lookup side that went through this is computed once however often it is joined,
-    outlives lost executors, and has a known size: Catalyst plans a broadcast only when
-    the files on disk are below ``spark.sql.autoBroadcastJoinThreshold``, and otherwise a
-    sort-merge join whose skewed partitions AQE splits.
+    A lookup side that went through this is computed once however often it is joined, and
+    outlives lost executors. Both its sizes are known: Catalyst plans a broadcast only when
+    the files are below ``spark.sql.autoBroadcastJoinThreshold``, and files that unpack to more
+    than ``LARGEST_BROADCAST_BYTES`` are kept out of broadcasts altogether. Other sides go into
+    a sort-merge join, whose skewed partitions AQE splits.
     """
     path = f"{shared_folder(df.sparkSession)}/tarmaq/{label}-{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    unpacked = Observation(f"{label} {path}")
+    widths = [F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) for c in df.columns]
+    total = F.sum(reduce(lambda a, b: a + b, widths).cast("bigint")).alias("bytes")
+    df.observe(unpacked, total).write.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    if (unpacked.get["bytes"] or 0) > LARGEST_BROADCAST_BYTES:
+        return written.hint("merge")
+    return written
 
 
 def fingerprint(spark: SparkSession, *paths: str) -> str:

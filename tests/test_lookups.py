@@ -96,3 +96,31 @@ def test_without_match_ignores_nulls(spark):
     df = spark.createDataFrame([(1,), (3,), (None,)], "x int")
     side = spark.createDataFrame([(1,), (None,)], "y int")
     assert rows(without_match(df, "x", side, "y")) == sorted([(3,), (None,)], key=repr)
+
+
+def test_a_hot_key_is_split_when_the_side_is_too_big_to_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        steps = spark.range(0, 300_000, 1, 8).select("id", F.when(
+            F.col("id") % 3 == 0, "HOT").otherwise((F.col("id") % 5000).cast("string")).alias("code"))
+        registry = spark.range(4000).select(F.col("id").cast("string").alias("icao")).union(
+            spark.createDataFrame([("HOT",)], "icao string"))
+        marked = mark_membership(steps, [Mark("known", "code", registry, "icao")])
+        counted = {row["known"]: row["count"] for row in marked.groupBy("known").count().collect()}
+        joined = marked.persist()
+        assert joined.count() == 300_000
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+        joined.unpersist()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert counted == {True: 260_000, False: 40_000}

@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmaq.operators import audit
+from tarmaq.operators.lookup import attach
 from tarmaq.session import shared_folder
+from tarmaq.sources import shared
 from tarmaq.sources.lake import Lake
 from tarmaq.sources.shared import fingerprint, settle, stored_once
 from tarmaq.sources.snapshots import load_history, read_snapshot, write_snapshot
@@ -69,6 +71,16 @@ def test_settled_tables_lie_in_the_shared_folder(spark):
     assert side.count() == 3
 
 
+def test_a_side_that_unpacks_too_large_is_not_broadcast(spark, monkeypatch):
+    side = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("x" * 50).alias("t"))
+    steps = spark.range(100).select(F.col("id").cast("string").alias("code"))
+    small = attach(steps, "code", settle(side, "s"), "k", {"t": "text"})
+    monkeypatch.setattr(shared, "LARGEST_BROADCAST_BYTES", 5000)
+    large = attach(steps, "code", settle(side, "s"), "k", {"t": "text"})
+    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
+    assert rows(small) == rows(large)
+
+
 def test_stored_once_builds_once(spark):
     calls = []
 
