@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tarmaq.plans import bronze, contract, gold, silver
 from tarmaq.plans import vocabulary as V
 from tarmaq.sources.delimited import INGESTED_AT, SOURCE_FILE
-from tarmaq.sources.shared import fingerprint, stored_once
+from tarmaq.sources.shared import fingerprint, spread, stored_once
 
 
 def _minutes(amount: Column) -> Column:
@@ -132,9 +132,9 @@ def raw_aerodromes(nation: DataFrame, region: DataFrame) -> DataFrame:
 class Flights:
     """The layers of the flight model over one folder of benchmark tables, built on demand.
 
-    ``silver``, ``airports``, ``fact`` and ``obt`` are tables, as in any layered lake: the
-    first use in an application writes them to the shared folder, later uses read them.
-    The ``derived_*`` forms are the same plans, not written.
+    ``bronze``, ``silver``, ``airports``, ``fact`` and ``obt`` are tables, as in any layered
+    lake: the first use in an application writes them to the shared folder, later uses read
+    them. The ``derived_*`` forms are the same plans, not written.
     """
 
     spark: SparkSession
@@ -151,10 +151,6 @@ class Flights:
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return stored_once(self.spark, f"{self._trace}/{name}", build)
 
-    @cached_property
-    def bronze(self) -> DataFrame:
-        return raw_steps(self.table("lineitem"))
-
     @cached_property
     def national(self) -> DataFrame:
         return raw_companies(self.table("supplier"), national=True)
@@ -179,6 +175,9 @@ class Flights:
     def codes(self) -> DataFrame:
         return silver.operation_codes(bronze.operation_codes(self.spark))
 
+    def derived_bronze(self) -> DataFrame:
+        return raw_steps(spread(self.table("lineitem")))
+
     def derived_silver(self) -> DataFrame:
         return silver.flights(self.bronze)
 
@@ -191,6 +190,10 @@ class Flights:
     def derived_obt(self) -> DataFrame:
         return gold.obt_flights(self.fact, self.airports)
 
+    @cached_property
+    def bronze(self) -> DataFrame:
+        return self._stored("bronze_vra", self.derived_bronze)
+
     @cached_property
     def silver(self) -> DataFrame:
         return self._stored("silver_vra", self.derived_silver)

@@ -7,8 +7,6 @@ leaves nothing visible.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +52,12 @@ def write_snapshot(df: DataFrame, root: str, operation: str = "overwrite",
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(snapshot_path(root, version))
-    entry = (version, datetime.now(timezone.utc), operation, written.get["rows"])
-    (
-        spark.createDataFrame([entry], LEDGER_SCHEMA).coalesce(1)
-        .write.mode("append").parquet(f"{root}/ledger")
-    )
+    spark.range(1).select(
+        F.lit(version).cast("int").alias("version"),
+        F.current_timestamp().alias("loaded_at"),
+        F.lit(operation).alias("operation"),
+        F.lit(written.get["rows"]).cast("bigint").alias("rows_written"),
+    ).coalesce(1).write.mode("append").parquet(f"{root}/ledger")
     return version
 
 

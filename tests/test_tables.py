@@ -6,7 +6,7 @@ from tarmaq.operators.lookup import attach
 from tarmaq.session import shared_folder
 from tarmaq.sources import shared
 from tarmaq.sources.lake import Lake
-from tarmaq.sources.shared import fingerprint, settle, stored_once
+from tarmaq.sources.shared import fingerprint, settle, spread, stored_once
 from tarmaq.sources.snapshots import load_history, read_snapshot, write_snapshot
 from tests.conftest import plan, rows
 
@@ -81,6 +81,12 @@ def test_a_side_that_unpacks_too_large_is_not_broadcast(spark, monkeypatch):
     assert rows(small) == rows(large)
 
 
+def test_only_thin_scans_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert "RoundRobinPartitioning" in plan(spread(spark.range(0, 9, 1, 1)))
+    assert "Exchange" not in plan(spread(spark.range(0, 9, 1, cores)))
+
+
 def test_stored_once_builds_once(spark):
     calls = []
 
