@@ -382,21 +382,21 @@ QUERIES = {
             ("silver.aerodromes", "aerodromes"), ("gold.dim_airport", "airports"),
             ("gold.fact_flights", "fact"), ("gold.obt_flights", "obt")]),
     "q1_punctuality": """
-        SELECT airline_name, count(*) AS flights, avg(departure_delay_min) AS avg_dep_delay,
-          avg(arrival_delay_min) AS avg_arr_delay,
+        SELECT airline_name, count(*) AS flights, round(avg(departure_delay_min), 6) AS avg_dep_delay,
+          round(avg(arrival_delay_min), 6) AS avg_arr_delay,
           count(*) FILTER (departure_punctual)::DOUBLE * 100.0::DOUBLE / count(*)::DOUBLE
             AS dep_on_time_pct
         FROM obt WHERE flight_status = 'REALIZADO' GROUP BY airline_name""",
     "q1b_judgeable_only": """
-        SELECT airline_name, count(*) AS flights, avg(departure_delay_min) AS avg_dep_delay,
-          avg(arrival_delay_min) AS avg_arr_delay,
+        SELECT airline_name, count(*) AS flights, round(avg(departure_delay_min), 6) AS avg_dep_delay,
+          round(avg(arrival_delay_min), 6) AS avg_arr_delay,
           CASE WHEN count(departure_punctual) > 0
                THEN count(*) FILTER (departure_punctual)::DOUBLE * 100.0::DOUBLE
                     / count(departure_punctual)::DOUBLE END AS dep_on_time_pct
         FROM obt WHERE flight_status = 'REALIZADO' GROUP BY airline_name""",
     "q2_routes": """
         SELECT route_municipalities, count(*) AS flights,
-          avg(minutes_recovered) AS avg_minutes_recovered
+          round(avg(minutes_recovered), 6) AS avg_minutes_recovered
         FROM obt WHERE flight_status = 'REALIZADO' GROUP BY route_municipalities
         ORDER BY flights DESC, route_municipalities LIMIT 10""",
     "q3_cancellation": """
@@ -407,11 +407,11 @@ QUERIES = {
         FROM obt GROUP BY airline_name ORDER BY cancelled DESC, airline_name LIMIT 10""",
     "q4_monthly": """
         SELECT reference_month, flight_status, count(*) AS flights,
-          avg(arrival_delay_min) AS avg_delay
+          round(avg(arrival_delay_min), 6) AS avg_delay
         FROM obt GROUP BY reference_month, flight_status""",
     "q5_hourly": """
-        SELECT scheduled_departure_hour, avg(departure_delay_min) AS avg_dep_delay,
-          avg(arrival_delay_min) AS avg_arr_delay, count(*) AS flights
+        SELECT scheduled_departure_hour, round(avg(departure_delay_min), 6) AS avg_dep_delay,
+          round(avg(arrival_delay_min), 6) AS avg_arr_delay, count(*) AS flights
         FROM obt WHERE flight_status = 'REALIZADO' AND departure_delay_min IS NOT NULL
         GROUP BY scheduled_departure_hour""",
     "n1_city_delays": """
@@ -424,13 +424,13 @@ QUERIES = {
             AS cancel_pct
         FROM obt GROUP BY route_icao""",
     "n3_monthly_recovery": """
-        SELECT reference_month, avg(minutes_recovered) AS avg_minutes_recovered
+        SELECT reference_month, round(avg(minutes_recovered), 6) AS avg_minutes_recovered
         FROM obt GROUP BY reference_month""",
     "n4_foreign_cancellations": """
         SELECT airline_name, count(*) AS cancelled FROM fact
         WHERE airline_registry = 'foreign' AND flight_cancelled GROUP BY airline_name""",
     "n5_worst_hour": """
-        SELECT scheduled_departure_hour, avg(departure_delay_min) AS avg_dep_delay,
+        SELECT scheduled_departure_hour, round(avg(departure_delay_min), 6) AS avg_dep_delay,
           count(*) AS flights
         FROM obt WHERE departure_delay_min IS NOT NULL GROUP BY scheduled_departure_hour
         ORDER BY avg_dep_delay DESC, scheduled_departure_hour LIMIT 1""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmaq.functions.typing import named
 from tarmaq.session import shared_folder
-from tarmaq.sources.snapshots import latest_version, read_snapshot, write_snapshot
+from tarmaq.sources.snapshots import latest_version, snapshot_path, write_snapshot
 
 
 LARGEST_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -72,4 +72,4 @@ def stored_once(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -
         with _building:
             if latest_version(spark, root) is None:
                 write_snapshot(plan, root)
-    return read_snapshot(spark, root)
+    return spark.read.parquet(snapshot_path(root, 0))
