@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tarmaq-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tarmaq-")

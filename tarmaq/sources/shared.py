@@ -39,13 +39,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores out over all cores.
+    """Deal the rows of a scan with fewer splits than cores out over more tasks.
 
     A file that cannot be split would otherwise occupy one task while the rest of the cluster
-    waits. A scan with enough splits is returned as it is, so a large table never pays for this.
+    waits. AQE sizes the new partitions, so little data does not become many tiny files. A scan
+    with enough splits is returned as it is, so a large table never pays for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.hint("rebalance") if df.rdd.getNumPartitions() < cores else df
 
 
 def fingerprint(spark: SparkSession, *paths: str) -> str:
