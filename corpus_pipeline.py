@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmaq.llm.common import shared_root
+from tarmaq.session import shared_folder
 
 STAGES = []
 
@@ -15,7 +15,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written as Parquet and read again."""
-    folder = f"{shared_root(spark)}/tarmaq-llm/pipeline-{uuid4().hex}"
+    folder = f"{shared_folder(spark)}/tarmaq-llm/pipeline-{uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name.replace(' ', '-')}"

@@ -9,21 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmaq.session import shared_folder
+
 #: A word of the contracts: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe from lost executors."""
-    path = f"{shared_root(df.sparkSession)}/tarmaq-llm/{label}-{uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/tarmaq-llm/{label}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

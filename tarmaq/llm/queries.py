@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from tarmaq.llm.jaccard_join import op3_ngram_jaccard
+from tarmaq.llm.quality_rules import OP7_SQL, op7_quality_rules
+from tarmaq.llm.source_mix import OP2_SQL, op2_source_mix
 from tarmaq.llm.substring_dedup import op1_substring_dedup
 from tarmaq.llm.suffix_dedup import op8_suffix_array_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_source_mix": op2_source_mix,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op7_quality_rules": op7_quality_rules,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_source_mix": OP2_SQL,
+    "op7_quality_rules": OP7_SQL,
+}
