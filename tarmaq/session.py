@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
+import re
 
 from pyspark.sql import SparkSession
 
@@ -27,19 +26,14 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, for tables between two steps.
 
-    Only a local session may go without one: a temporary folder of the driver
-    machine would be invisible to the executors of a cluster.
+    A local session, as in tests, may leave it unset and then uses the folder of its warehouse.
+    A cluster has to name it: a folder of one machine would be invisible to the others.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    return _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tarmaq-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/between-steps"
