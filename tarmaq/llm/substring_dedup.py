@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmaq.llm.common import arrow_map, row_key, table
-from tarmaq.llm.repeats import covered, repeated_windows, with_spans
+from tarmaq.llm.repeats import Units, covered, repeated_windows, with_spans
 
 WINDOW_WORDS = 35
 ANCHOR_WORDS = 8
@@ -22,6 +22,14 @@ def word_symbols(text: bytes) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def _word_cutter(text: bytes):
+    words = text.split()
+    return lambda start, end: b" ".join(words[start:end])
+
+
+WORDS = Units(word_symbols, _word_cutter)
+
+
 def repeated_passages(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                       window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
     """Documents with the places of their repeated passages: ``id, text, places``.
@@ -40,8 +48,8 @@ def repeated_passages(documents: DataFrame, id_column: str = "doc_id", text_colu
                             F.col(f"`{text_column}`").alias("text"))
     keyed = rows.withColumn("key", row_key("id", "text"))
     texts = keyed.repartition("key")
-    spans = repeated_windows(keyed.select("key", "text"), texts, word_symbols, window,
-                             [anchor, window])
+    spans = repeated_windows(keyed.select("key", "text"), texts, WORDS, window,
+                             [anchor])
     return with_spans(texts, spans)
 
 

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from tarmaq.llm.common import arrow_map, row_key, table
 from tarmaq.llm.minimizers import Prefix, mix, ordered
-from tarmaq.llm.repeats import COUNT_BITS, covered, repeated_windows, with_spans
+from tarmaq.llm.repeats import COUNT_BITS, Units, covered, repeated_windows, unpack, with_spans
 
 WINDOW_BYTES = 400
 SEED_BYTES = (256, 385)
 #: A block of the index closes at this many symbols, at the end of a seed.
-BLOCK_SYMBOLS = 1 << 19
+BLOCK_SYMBOLS = 1 << 17
 #: Seeds with more contexts than this are split by longer seeds instead of being indexed whole.
 LARGEST_SEED = 1024
 
@@ -25,6 +25,9 @@ def byte_symbols(text: bytes) -> np.ndarray:
     return _BYTE_SYMBOLS[np.frombuffer(text, np.uint8)]
 
 
+BYTES = Units(byte_symbols, lambda text: lambda start, end: text[start:end])
+
+
 class RunLengthIndex:
     """A run-compressed Burrows-Wheeler transform with samples at the ends of its runs.
 
@@ -81,32 +84,20 @@ class RunLengthIndex:
         return best
 
 
-def _flanks(window: int):
-    """The bytes to both sides of each range's seed."""
-    def of(k: int):
-        def rows(batch: pa.RecordBatch):
-            out = {c: [] for c in ("seed", "key", "place", "weight", "ahead", "behind")}
-            for key, text, ranges in zip(batch["key"].to_pylist(), batch["text"].to_pylist(),
-                                         batch["ranges"].to_pylist(), strict=True):
-                data = text.encode()
-                prefix = Prefix(byte_symbols(data))
-                for r in ranges:
-                    start = r["place"] >> COUNT_BITS
-                    count = r["place"] & ((1 << COUNT_BITS) - 1)
-                    end = start + count - 1 + window
-                    begin = np.arange(start, end - k + 1)
-                    seed = start + int(ordered(prefix.slices(begin, begin + k)).argmin())
-                    out["seed"].append(r["seed"])
-                    out["key"].append(key)
-                    out["place"].append(r["place"])
-                    out["weight"].append(r["weight"])
-                    out["ahead"].append(data[start:seed])
-                    out["behind"].append(data[seed + k : end])
-            yield out
-
-        return rows
-
-    return of
+def _flanks(k: int):
+    """The bytes to both sides of each slice's seed."""
+
+    def rows(batch: pa.RecordBatch):
+        out = {c: batch[c] for c in ("seed", "key", "place", "weight")}
+        ahead, behind = [], []
+        for data in batch["data"].to_pylist():
+            grams = Prefix(byte_symbols(data)).grams(k)
+            seed = int(ordered(grams).argmin())
+            ahead.append(data[:seed])
+            behind.append(data[seed + k :])
+        yield out | {"ahead": ahead, "behind": behind}
+
+    return rows
 
 
 def _matches(block: dict[str, list], needed: int) -> dict[str, list]:
@@ -128,7 +119,7 @@ def _matches(block: dict[str, list], needed: int) -> dict[str, list]:
     for i, place in enumerate(block["place"]):
         if block["weight"][i] != 1:
             continue
-        start, count = place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
+        start, count = unpack(place)
         hit = statistics[starts[i] : starts[i] + count] >= needed
         edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
         for a, b in edges.reshape(-1, 2).tolist():
@@ -140,10 +131,12 @@ def _matches(block: dict[str, list], needed: int) -> dict[str, list]:
 def indexed_matches(window: int, block_symbols: int = BLOCK_SYMBOLS):
     """``resolve`` for :func:`repeated_windows`: an index for each block of whole seeds."""
 
-    def resolve(ranges: DataFrame, k: int) -> DataFrame:
-        flanks = arrow_map(ranges, _flanks(window)(k), "seed bigint, key bigint, place bigint, "
+    def resolve(slices: DataFrame, k: int) -> DataFrame:
+        flanks = arrow_map(slices, _flanks(k), "seed bigint, key bigint, place bigint, "
                            "weight int, ahead binary, behind binary")
-        by_seed = flanks.repartition("seed").sortWithinPartitions("seed")
+        # A fixed number, as the work is in the sorting and not in the bytes that Spark would see.
+        parts = int(slices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        by_seed = flanks.repartition(parts, "seed").sortWithinPartitions("seed")
 
         def run(batches):
             block: dict[str, list] = {}
@@ -192,9 +185,8 @@ def repeated_strings(documents: DataFrame, id_column: str = "doc_id", text_colum
                             F.col(f"`{text_column}`").alias("text"))
     keyed = rows.withColumn("key", row_key("id", "text"))
     texts = keyed.repartition("key")
-    spans = repeated_windows(keyed.select("key", "text"), texts, byte_symbols, window,
-                             [*seeds, window], largest_seed,
-                             indexed_matches(window, block_symbols))
+    spans = repeated_windows(keyed.select("key", "text"), texts, BYTES, window, seeds,
+                             largest_seed, indexed_matches(window, block_symbols))
     return with_spans(texts, spans)
 
 
