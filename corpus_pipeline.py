@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmaq.llm.jaccard_join import near_duplicates
-from tarmaq.llm.quality_rules import ledger, measure, passes
+from tarmaq.llm.quality_rules import kept, ledger, measure
 from tarmaq.llm.sentence_pieces import Pieces, default_model, encode
 from tarmaq.llm.source_mix import repeated, systematic_mix
 from tarmaq.llm.surrogates import pseudonymised
@@ -17,7 +17,7 @@ from tarmaq.session import shared_folder
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass all rules of the policy."""
-    return ledger(measure(docs)).where(passes("v1")).select(docs.columns)
+    return kept(ledger(measure(docs)), "v1").select("document.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for the personal data in their texts."""
-    replaced = pseudonymised(docs).drop("n_entities")
+    replaced = pseudonymised(docs, count_column=None)
     return replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -274,15 +274,15 @@ def assign(names: DataFrame, key: bytes = KEY,
 
 
 def pseudonymised(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                  key: bytes = KEY) -> DataFrame:
-    """``documents`` with every entity in the text replaced, and ``n_entities`` added.
+                  key: bytes = KEY, count_column: str | None = "n_entities") -> DataFrame:
+    """``documents`` with every entity in the text replaced, and their number added.
 
     The same entity gets the same surrogate in all documents, different ones never share one. Each
     document receives just the surrogates it needs by a join, so nothing grows on the driver. Null
     texts stay null with 0 entities, texts without entities stay as they are, rows may repeat, and
-    a column that is called ``n_entities`` is replaced.
+    a column that is called like ``count_column`` is replaced.
     """
-    others = [c for c in documents.columns if c not in (text_column, "n_entities")]
+    others = [c for c in documents.columns if c not in (text_column, count_column)]
     rows_in = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("document"),
         F.col(f"`{text_column}`").alias("text"),
@@ -315,7 +315,8 @@ def pseudonymised(documents: DataFrame, id_column: str = "doc_id", text_column:
                          f"document {kind}, text string, n_entities bigint")
     return replaced.select(*[
         F.col("text").alias(text_column) if c == text_column else F.col(f"document.`{c}`")
-        for c in documents.columns if c != "n_entities"], "n_entities")
+        for c in documents.columns if c != count_column],
+        *[F.col("n_entities").alias(count_column)] if count_column else [])
 
 
 def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 from tarmaq.compare import difference
-from tarmaq.llm.quality_rules import POLICIES, RULES, ablations, ledger, mask_of, measure, passes
+from tarmaq.llm.quality_rules import POLICIES, RULES, ablations, kept, ledger, mask_of, measure
 from tarmaq.llm.queries import ORACLE_SQL, QUERIES
 from tarmaq.llm.source_mix import repeated, systematic_mix, targets
 
@@ -27,9 +27,9 @@ def repeat_words(text):
 
 def test_measures(spark):
     df = spark.createDataFrame([(i, t, i) for i, t in enumerate(TEXTS)],
-                               "doc_id long, text string, failed int").drop("failed")
+                               "doc_id long, text string, entry int")
     for row in measure(df).collect():
-        text = row.text or ""
+        text = row.document.text or ""
         words = re.findall(r"[^\x20\x09-\x0D]+", text)
         lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
         assert row.n_words == len(words) and row.word_chars == sum(map(len, words))
@@ -49,7 +49,7 @@ def test_ablations(spark):
         assert row.rejected == sum(bool(b & mask) for b in bits)
         assert row.rejected_by_it_alone == sum(b & mask == bit for b in bits)
         assert row.kept_without_it == sum(not b & mask & ~bit for b in bits)
-    assert judged.where(passes("base")).count() == sum(not b & mask_of(POLICIES["base"])
+    assert kept(judged, "base").count() == sum(not b & mask_of(POLICIES["base"])
                                                        for b in bits)
     assert ablations(ledger(measure(df.where("false")))).collect() == []
 
