@@ -105,12 +105,13 @@ def snapshot_compare(snapshots: Mapping[str, DataFrame], stamp: str) -> DataFram
 def key_skew(df: DataFrame, key: str, top: int = 3, rest: str = "others") -> DataFrame:
     """Rows and share of the ``top`` largest keys, and of all others together.
 
-    The counts are aggregated first; the ranked side is ``top`` rows, so its join needs no shuffle.
+    The counts are aggregated once: leaders, groups and total all read the same exchange. The
+    ranked side is ``top`` rows, so its join needs no shuffle.
     """
     counts = df.groupBy(named(key).alias("key")).agg(F.count("*").alias("n"))
     largest = counts.orderBy(F.desc("n"), F.asc("key")).limit(top)
     leaders = largest.select(F.col("key").alias("leader"), F.lit(True).alias("leads"))
-    total = df.agg(F.count("*")).scalar()
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     return (
         counts.join(F.broadcast(leaders), F.col("key").eqNullSafe(F.col("leader")), "left")
         .groupBy(F.when(F.col("leads"), F.col("key")).otherwise(F.lit(rest)).alias("key"))
@@ -119,6 +120,11 @@ def key_skew(df: DataFrame, key: str, top: int = 3, rest: str = "others") -> Dat
     )
 
 
+def listing(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Each combination of ``by`` once, in order, with its number of rows."""
+    return df.groupBy(*by).agg(F.count("*").alias("rows")).orderBy(*by)
+
+
 def extremes(df: DataFrame, by: str) -> DataFrame:
     """One row: the smallest and the largest group of ``by`` with their row counts."""
     counts = df.where(named(by).isNotNull()).groupBy(named(by).alias("g")).agg(

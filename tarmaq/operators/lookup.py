@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 from tarmaq.functions.predicates import key_present
 from tarmaq.functions.typing import named
 from tarmaq.operators.dedup import first_per_key
-from tarmaq.sources.shared import settle
 
 
 def best_per_key(registry: DataFrame, key: str, order: Sequence[str | Column],
                  columns: Sequence[str]) -> DataFrame:
-    """A registry reduced to one row per usable key, settled for joining."""
+    """A registry reduced to one row per usable key."""
     usable = registry.where(key_present(F.col(key)))
-    return settle(first_per_key(usable, [key], order).select(key, *columns), f"best-{key}")
+    return first_per_key(usable, [key], order).select(key, *columns)
 
 
 def attach(df: DataFrame, on: str, side: DataFrame, key: str,
@@ -36,25 +35,29 @@ def attach(df: DataFrame, on: str, side: DataFrame, key: str,
 
 @dataclass(frozen=True)
 class Mark:
-    """Flag ``flag``: does ``column`` occur as a usable ``key`` of ``registry``?"""
+    """Flag ``flag``: does ``column`` occur as a usable ``key`` of ``registry``?
+
+    ``unique`` says that the registry holds each key once. Then nothing is folded between its
+    shuffle and a merge join, so that Spark can split a hot key of the marked table there.
+    """
 
     flag: str
     column: str
     registry: DataFrame
     key: str
+    unique: bool = False
 
 
 def mark_membership(df: DataFrame, marks: Sequence[Mark]) -> DataFrame:
-    """Add one never-NULL flag per mark; rows are neither lost nor repeated."""
-    settled: dict[tuple[int, str], DataFrame] = {}
+    """Add one never-NULL flag per mark; rows are neither lost nor repeated.
+
+    Nothing runs while the plan is built. Marks on the same registry share its distinct keys, as
+    equal exchanges are reused, and the session's own limit decides what is broadcast.
+    """
     for mark in marks:
-        source = (id(mark.registry), mark.key)
-        if source not in settled:
-            key = named(mark.key)
-            keys = mark.registry.where(key_present(key)).select(key.alias("__member")).distinct()
-            settled[source] = settle(keys, f"members-{mark.key}")
-        member = f"__{mark.flag}"
-        keys = settled[source].select(F.col("__member").alias(member))
+        key, member = named(mark.key), f"__{mark.flag}"
+        keys = mark.registry.where(key_present(key)).select(key.alias(member))
+        keys = keys if mark.unique else keys.distinct()
         df = (
             df.join(keys, named(mark.column) == named(member), "left")
             .withColumn(mark.flag, named(member).isNotNull())

@@ -65,16 +65,12 @@ def quarantine(df: DataFrame, rules: Sequence[Rule], reasons: str) -> DataFrame:
     return df.where(~clean).withColumn(reasons, failure_reasons(rules))
 
 
-def violation_distribution(quarantined: DataFrame, reasons: str, audited: DataFrame) -> DataFrame:
-    """Rows per reason and their share of all audited rows."""
-    total = audited.agg(F.count("*")).scalar()
-    each = F.explode(F.split(F.col(reasons), r" \| ")).alias("reason")
-    return (
-        quarantined.select(each)
-        .groupBy("reason")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("pct_of_rows", percent(F.col("rows"), total))
-    )
+def violation_distribution(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows per failed rule and their share of all rows, from one pass over ``df``."""
+    failed = expectation_counts(df, rules).where(F.col("failed") > 0)
+    return failed.select(
+        F.col("rule").alias("reason"), F.col("failed").alias("rows"),
+        percent(F.col("failed"), F.col("passed") + F.col("failed")).alias("pct_of_rows"))
 
 
 def quarantine_share(quarantined: DataFrame, audited: DataFrame) -> DataFrame:

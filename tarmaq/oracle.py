@@ -181,8 +181,7 @@ VIEWS = {
           coalesce(name, 'AEROPORTO FORA DO CADASTRO ANAC (' || icao_airport || ')')
             AS airport_name,
           municipality AS airport_municipality, state_name AS airport_state,
-          CASE WHEN left(icao_airport, 1) = 'S' AND substr(icao_airport, 2, 1) IN
-                    ('B', 'D', 'I', 'J', 'N', 'S', 'W')
+          CASE WHEN regexp_matches(icao_airport, '^S[BDIJNSW]')
                THEN 'Brasil' ELSE 'Exterior' END AS airport_country,
           icao IS NOT NULL AS in_anac_registry
         FROM airport_codes LEFT JOIN first_aerodromes ON icao_airport = icao""",
@@ -195,8 +194,8 @@ VIEWS = {
           m.line_type_code,
           coalesce(t.description, 'Codigo nao catalogado (' || m.line_type_code || ')')
             AS line_type_description,
-          CASE WHEN m.line_type_code IN ('C', 'N') THEN 'Domestico'
-               WHEN m.line_type_code IN ('G', 'I') THEN 'Internacional'
+          CASE WHEN m.line_type_code IN ('N', 'C') THEN 'Domestico'
+               WHEN m.line_type_code IN ('I', 'G') THEN 'Internacional'
                ELSE 'Nao classificado' END AS flight_scope,
           m.icao_origin, m.icao_destination,
           m.icao_origin || ' - ' || m.icao_destination AS route,
@@ -429,11 +428,21 @@ QUERIES = {
     "n4_foreign_cancellations": """
         SELECT airline_name, count(*) AS cancelled FROM fact
         WHERE airline_registry = 'foreign' AND flight_cancelled GROUP BY airline_name""",
+    "delimited_round_trip": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+          CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment,
+          CAST(c_custkey % 7 AS VARCHAR) AS from_file FROM customer""",
+    "latin1_round_trip": """
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(line) AS text_md5,
+          CAST(length(line) AS INTEGER) AS chars
+        FROM (SELECT doc_id, '"' || left(lang, 1) || ' ' || trim(regexp_replace(
+                regexp_replace(text, '[;\\s]+', ' ', 'g'), '[^\\x20-\\x7E\\x{A1}-\\x{FF}]', '?', 'g'))
+                AS line FROM documents)""",
     "n5_worst_hour": """
         SELECT scheduled_departure_hour, round(avg(departure_delay_min), 6) AS avg_dep_delay,
           count(*) AS flights
         FROM obt WHERE departure_delay_min IS NOT NULL GROUP BY scheduled_departure_hour
-        ORDER BY avg_dep_delay DESC, scheduled_departure_hour LIMIT 1""",
+        ORDER BY avg(departure_delay_min) DESC, scheduled_departure_hour LIMIT 1""",
     "flights_by_status": """
         SELECT flight_status, count(*) AS flights FROM obt GROUP BY flight_status""",
     "delay_recovery": """

@@ -10,6 +10,7 @@ from tarmaq.sources.delimited import (
     NO_QUOTES,
     read_delimited,
     renamed,
+    require_headers,
     with_ingest_time,
     with_source_file,
 )
@@ -22,13 +23,16 @@ COMPANY_FILES = {
 
 
 def flights(spark: SparkSession, path: str) -> DataFrame:
-    """Monthly flight files; accented source headers are kept."""
+    """Monthly flight files; accented source headers are kept, and have to be the expected ones."""
+    require_headers(spark, path, list(V.FLIGHT_COLUMNS))
     rows = read_delimited(spark, path, list(V.FLIGHT_COLUMNS), escape='"')
     return with_ingest_time(with_source_file(rows))
 
 
 def aerodromes(spark: SparkSession, path: str) -> DataFrame:
     """Latin-1 registry in which a quotation mark is ordinary text."""
+    require_headers(spark, path, list(V.AERODROME_COLUMNS), encoding="ISO-8859-1",
+                    quote=NO_QUOTES)
     rows = read_delimited(
         spark, path, list(V.AERODROME_COLUMNS), encoding="ISO-8859-1", quote=NO_QUOTES
     )

@@ -15,7 +15,13 @@ from tarmaq.plans import consumption, contract, gold, silver
 from tarmaq.plans import vocabulary as V
 from tarmaq.plans.fixtures import Flights
 from tarmaq.session import shared_folder
-from tarmaq.sources.delimited import SOURCE_FILE
+from tarmaq.sources.delimited import (
+    NO_QUOTES,
+    SOURCE_FILE,
+    read_delimited,
+    require_headers,
+    write_delimited,
+)
 from tarmaq.sources.snapshots import load_history, read_snapshot, write_snapshot
 
 Query = Callable[[Flights], DataFrame]
@@ -45,6 +51,33 @@ def rounded_means(df: DataFrame) -> DataFrame:
 # Raw tables and typing
 
 
+@query
+def delimited_round_trip(f: Flights) -> DataFrame:
+    """Customers written as text files with preamble and header, then scanned with their files."""
+    path = f"{shared_folder(f.spark)}/tarmaq/text-{uuid4().hex}"
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    write_delimited(f.table("customer").select(*columns), path, F.col("c_custkey") % 7,
+                    "Atualizado em: 2025-08-01")
+    files = f"{path}/file=*/*.txt"
+    require_headers(f.spark, files, columns)
+    folder = F.regexp_extract("_metadata.file_path", r"file=(\d+)/", 1)
+    return read_delimited(f.spark, files, columns).select("*", folder.alias("from_file"))
+
+
+@query
+def latin1_round_trip(f: Flights) -> DataFrame:
+    """Documents with quotation marks written in Latin-1 and scanned with quoting off."""
+    path = f"{shared_folder(f.spark)}/tarmaq/latin-{uuid4().hex}"
+    flat = F.regexp_replace("text", r"[;\s]+", " ")
+    spelt = F.trim(F.regexp_replace(flat, r"[^\x20-\x7E\xA1-\xFF]", "?"))
+    quoted = F.concat(F.lit('"'), F.substring("lang", 1, 1), F.lit(" "), spelt)
+    f.table("documents").select("doc_id", quoted.alias("text")).write.csv(
+        path, sep=";", encoding="ISO-8859-1", quote=NO_QUOTES, escape=NO_QUOTES, header=True)
+    back = f.spark.read.csv(path, schema="doc_id string, text string", sep=";", header=True,
+                            encoding="ISO-8859-1", quote=NO_QUOTES)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("chars"))
+
+
 @query
 def audit_load_summary(f: Flights) -> DataFrame:
     return audit.load_summary(f.bronze, SOURCE_FILE, "Partida Prevista", "latest_departure")
@@ -143,7 +176,7 @@ def quarantine_rows(f: Flights) -> DataFrame:
 
 @query
 def violation_distribution(f: Flights) -> DataFrame:
-    return quality.violation_distribution(contract.quarantined(f.marked), V.REASONS, f.silver)
+    return quality.violation_distribution(f.marked, contract.flight_rules())
 
 
 @query
@@ -221,18 +254,21 @@ def union_distinct_codes(f: Flights) -> DataFrame:
 def role_playing_nation(f: Flights) -> DataFrame:
     """Trade between the customer's nation and the supplier's, one nation table in two roles.
 
-    Nations are named after the flows are summed, so names never travel with the lines.
+    Lines meet their orders, are summed by buyer and supplier, and only the sums meet the
+    suppliers and nations; so the lines are shuffled once.
     """
     lines = f.table("lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    trade = lookup.attach(
-        lines, "l_suppkey", f.table("supplier"), "s_suppkey", {"s_nationkey": "seller"})
     buyers = lookup.attach(
         f.table("orders").select("o_orderkey", "o_custkey"), "o_custkey",
         f.table("customer"), "c_custkey", {"c_nationkey": "buyer"})
-    trade = lookup.attach(trade, "l_orderkey", buyers, "o_orderkey", {"buyer": "buyer"})
-    flows = trade.groupBy("buyer", "seller").agg(
+    trade = lookup.attach(lines, "l_orderkey", buyers, "o_orderkey", {"buyer": "buyer"})
+    sums = trade.groupBy("buyer", "l_suppkey").agg(
         F.count("*").alias("lines"),
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"))
+    sums = lookup.attach(
+        sums, "l_suppkey", f.table("supplier"), "s_suppkey", {"s_nationkey": "seller"})
+    flows = sums.groupBy("buyer", "seller").agg(
+        F.sum("lines").alias("lines"), F.sum("quantity").alias("quantity"))
     for role in ("buyer", "seller"):
         flows = lookup.attach(
             flows, role, f.table("nation"), "n_nationkey", {"n_name": f"{role}_nation"})
@@ -427,10 +463,8 @@ def tag_listing(f: Flights) -> DataFrame:
         F.struct(F.lit(tag).alias("tag_name"), F.col(tag).cast("string").alias("tag_value"))
         for tag in ("quality", "toxic")
     ])))
-    return (
-        tags.groupBy("tag_name", "tag_value").agg(F.count("*").alias("documents"))
-        .orderBy("tag_name", "tag_value")
-    )
+    listed = audit.listing(tags, ["tag_name", "tag_value"])
+    return listed.withColumnRenamed("rows", "documents")
 
 
 @query

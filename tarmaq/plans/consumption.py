@@ -80,7 +80,7 @@ def flights_by_status(obt: DataFrame) -> DataFrame:
 def late_departures_from(obt: DataFrame, city: str) -> DataFrame:
     """Airlines by late departures from airports whose municipality contains ``city``."""
     return (
-        obt.where(F.col("origin_municipality").like(f"%{city}%"))
+        obt.where(F.col("origin_municipality").contains(city))
         .groupBy("airline_name")
         .agg(_rows("flights"),
              rows_where(~F.col("departure_punctual")).alias("late_departures"))

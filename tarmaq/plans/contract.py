@@ -31,12 +31,13 @@ def flight_rules() -> list[Rule]:
     return [Rule(name, c) for name, c in zip(V.RULE_NAMES, conditions, strict=True)]
 
 
-def marked(flights: DataFrame, airlines: DataFrame, aerodromes: DataFrame) -> DataFrame:
+def marked(flights: DataFrame, airlines: DataFrame, aerodromes: DataFrame,
+           unique: bool = False) -> DataFrame:
     """Flight steps with three registry-membership flags."""
     return mark_membership(flights, [
-        Mark("origem_no_cadastro", "icao_origin", aerodromes, "icao"),
-        Mark("destino_no_cadastro", "icao_destination", aerodromes, "icao"),
-        Mark("empresa_no_cadastro", "icao_airline", airlines, "icao"),
+        Mark("origem_no_cadastro", "icao_origin", aerodromes, "icao", unique),
+        Mark("destino_no_cadastro", "icao_destination", aerodromes, "icao", unique),
+        Mark("empresa_no_cadastro", "icao_airline", airlines, "icao", unique),
     ])
 
 

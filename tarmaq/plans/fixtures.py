@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tarmaq.plans import bronze, contract, gold, silver
 from tarmaq.plans import vocabulary as V
 from tarmaq.sources.delimited import INGESTED_AT, SOURCE_FILE
-from tarmaq.sources.shared import fingerprint, spread, stored_once
+from tarmaq.sources.shared import fingerprint, stored_once
 
 
 def _minutes(amount: Column) -> Column:
@@ -176,7 +176,7 @@ class Flights:
         return silver.operation_codes(bronze.operation_codes(self.spark))
 
     def derived_bronze(self) -> DataFrame:
-        return raw_steps(spread(self.table("lineitem")))
+        return raw_steps(self.table("lineitem"))
 
     def derived_silver(self) -> DataFrame:
         return silver.flights(self.bronze)
@@ -212,4 +212,6 @@ class Flights:
 
     @cached_property
     def marked(self) -> DataFrame:
-        return contract.marked(self.silver, self.airlines, self.aerodromes)
+        registries = {"airline_codes": self.airlines, "aerodrome_codes": self.aerodromes}
+        keys = [self._stored(name, df.select("icao").distinct) for name, df in registries.items()]
+        return contract.marked(self.silver, *keys, unique=True)

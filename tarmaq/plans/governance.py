@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmaq.functions.predicates import key_present
-from tarmaq.operators.audit import coverage, lineage_edges
+from tarmaq.operators.audit import coverage, lineage_edges, listing, row_counts
 from tarmaq.operators.lookup import not_in
 from tarmaq.plans import dictionary
-from tarmaq.plans.refresh import RUN_LOG
-from tarmaq.sources.lake import Lake
+from tarmaq.plans.refresh import chain_report
+from tarmaq.sources.lake import RUN_LOG, Lake
 
 LAYERS = ["bronze", "silver", "gold"]
 
@@ -34,7 +34,8 @@ def undocumented_columns(lake: Lake) -> DataFrame:
 
 
 def tag_listing(lake: Lake) -> DataFrame:
-    return dictionary.tags(lake.spark).orderBy("layer", "table_name", "tag_name")
+    tags = listing(dictionary.tags(lake.spark), ["layer", "table_name", "tag_name", "tag_value"])
+    return tags.drop("rows")
 
 
 def tables_without_tag(lake: Lake, layer: str, tag: str) -> DataFrame:
@@ -54,3 +55,25 @@ def recent_lineage(lake: Lake, days: int = 7) -> DataFrame:
 def row_count_report(lake: Lake) -> DataFrame:
     """Rows of every table of every layer."""
     return lake.count_tables([name for layer in LAYERS for name in lake.tables(layer)])
+
+
+def validation_report(lake: Lake, accepted_copies: int | None = None) -> DataFrame:
+    """``check, found, target, verdict`` over all layers: documents, tags, tables and row chain."""
+    tagged = dictionary.tags(lake.spark).select("layer", "table_name").distinct()
+    columns = lake.columns(LAYERS)
+    tables = lake.spark.createDataFrame(
+        [tuple(t.split(".")) for t in dictionary.TABLES], "layer string, table_name string")
+    counts = {
+        "columns without a meaning": described_columns(lake).where(~key_present(F.col("meaning"))),
+        "tables without a tag": columns.select("layer", "table_name").distinct().join(
+            tagged, ["layer", "table_name"], "left_anti"),
+        "tables missing": tables.join(columns, ["layer", "table_name"], "left_anti"),
+    }
+    counted = row_counts(counts).select(
+        F.col("table_name").alias("check"), F.col("rows").alias("found"),
+        F.lit(0).cast("bigint").alias("target"),
+        F.when(F.col("rows") == 0, "OK").otherwise("CHECK").alias("verdict"))
+    chain = chain_report(lake, accepted_copies).select(
+        F.concat(F.lit("rows "), F.col("step")).alias("check"),
+        F.col("difference").alias("found"), "target", "verdict")
+    return counted.unionByName(chain)

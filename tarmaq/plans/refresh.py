@@ -3,34 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tarmaq.operators.audit import row_chain
 from tarmaq.operators.dedup import require_unique
 from tarmaq.operators.quality import observed
-from tarmaq.plans import bronze, contract, gold, silver
+from tarmaq.plans import bronze, contract, dictionary, gold, silver
+from tarmaq.plans import vocabulary as V
 from tarmaq.sources.lake import Lake
 
-RUN_LOG = "audit.run_log"
-
-# Table -> the tables it is built from. An empty list is a file load.
-LINEAGE = {
-    "bronze.vra": [],
-    "bronze.aerodromos": [],
-    "bronze.national_airlines": [],
-    "bronze.foreign_airlines": [],
-    "bronze.operation_codes": [],
-    "silver.vra": ["bronze.vra"],
-    "silver.airlines": ["bronze.national_airlines", "bronze.foreign_airlines"],
-    "silver.aerodromes": ["bronze.aerodromos"],
-    "silver.operation_codes": ["bronze.operation_codes"],
-    "silver.vra_quarentena": ["silver.vra", "silver.airlines", "silver.aerodromes"],
-    "gold.dim_airport": ["silver.vra", "silver.aerodromes"],
-    "gold.fact_flights": ["silver.vra", "silver.airlines", "silver.operation_codes"],
-    "gold.obt_flights": ["gold.fact_flights", "gold.dim_airport"],
-}
+EXPECTATIONS = "audit.expectations"
 
 
 @dataclass(frozen=True)
@@ -43,58 +28,62 @@ class Inputs:
 
 
 def load_bronze(lake: Lake, inputs: Inputs) -> None:
-    lake.write("bronze.vra", bronze.flights(lake.spark, inputs.flights))
-    lake.write("bronze.aerodromos", bronze.aerodromes(lake.spark, inputs.aerodromes))
+    lake.build("bronze.vra", lambda: bronze.flights(lake.spark, inputs.flights))
+    lake.build("bronze.aerodromos", lambda: bronze.aerodromes(lake.spark, inputs.aerodromes))
     for file, (table, _) in bronze.COMPANY_FILES.items():
-        companies = bronze.companies(lake.spark, inputs.company_folder, file)
-        lake.write(f"bronze.{table}", companies)
-    lake.write("bronze.operation_codes", bronze.operation_codes(lake.spark))
+        lake.build(f"bronze.{table}", partial(
+            bronze.companies, lake.spark, inputs.company_folder, file))
+    lake.build("bronze.operation_codes", lambda: bronze.operation_codes(lake.spark))
 
 
 def build_silver(lake: Lake) -> None:
-    lake.write("silver.vra", silver.flights(lake.read("bronze.vra")))
-    lake.write("silver.airlines", silver.airlines({
-        label: lake.read(f"bronze.{table}") for table, label in bronze.COMPANY_FILES.values()
-    }))
-    lake.write("silver.aerodromes", silver.aerodromes(lake.read("bronze.aerodromos")))
-    codes = require_unique(lake.read("bronze.operation_codes"), ["domain", "code"])
-    lake.write("silver.operation_codes", silver.operation_codes(codes))
+    lake.build("silver.vra", silver.flights, "bronze.vra")
+    labels = [label for _, label in bronze.COMPANY_FILES.values()]
+    lake.build("silver.airlines",
+               lambda *raw: silver.airlines(dict(zip(labels, raw, strict=True))),
+               *[f"bronze.{table}" for table, _ in bronze.COMPANY_FILES.values()])
+    lake.build("silver.aerodromes", silver.aerodromes, "bronze.aerodromos")
+    lake.build("silver.operation_codes", lambda codes: silver.operation_codes(
+        require_unique(codes, ["domain", "code"])), "bronze.operation_codes")
 
 
 def build_quarantine(lake: Lake) -> Observation:
-    """Write the quarantine; the rule counts are observed over all rows in the same pass."""
-    marked = contract.marked(
-        lake.read("silver.vra"), lake.read("silver.airlines"), lake.read("silver.aerodromes"))
-    audited, watch = observed(marked, contract.flight_rules(), "flight contract")
-    lake.write("silver.vra_quarentena", contract.quarantined(audited))
-    return watch
+    """Write the quarantine; the rule counts are observed over all rows in the same pass.
 
+    The counts of each run are kept in the table ``audit.expectations``.
+    """
+    watches: list[Observation] = []
 
-def build_gold(lake: Lake) -> None:
-    flights = lake.read("silver.vra")
-    lake.write("gold.dim_airport", gold.dim_airport(flights, lake.read("silver.aerodromes")))
-    lake.write("gold.fact_flights", gold.fact_flights(
-        flights, lake.read("silver.airlines"), lake.read("silver.operation_codes")))
-    lake.write("gold.obt_flights", gold.obt_flights(
-        lake.read("gold.fact_flights"), lake.read("gold.dim_airport")))
+    def failing(*layers: DataFrame) -> DataFrame:
+        audited, watch = observed(contract.marked(*layers), contract.flight_rules(), "contract")
+        watches.append(watch)
+        return contract.quarantined(audited)
+
+    lake.build("silver.vra_quarentena", failing, "silver.vra", "silver.airlines",
+               "silver.aerodromes")
+    counts = watches[0].get
+    told = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(counts[rule]).cast("bigint")
+                              .alias("failed")) for rule in V.RULE_NAMES])
+    lake.append(EXPECTATIONS, lake.spark.range(0, 1, 1, 1).select(
+        F.current_timestamp().alias("checked_at"), F.lit(counts["rows"]).cast("bigint")
+        .alias("rows"), F.inline(told)))
+    return watches[0]
 
 
-def log_run(lake: Lake) -> None:
-    """Append one row per lineage edge of this run; a file load has a blank source."""
-    today = date.today()
-    edges = [(source, target, today) for target, sources in LINEAGE.items()
-             for source in sources or [""]]
-    schema = "source string, target string, event_date date"
-    lake.append(RUN_LOG, lake.spark.createDataFrame(edges, schema))
+def build_gold(lake: Lake) -> None:
+    lake.build("gold.dim_airport", gold.dim_airport, "silver.vra", "silver.aerodromes")
+    lake.build("gold.fact_flights", gold.fact_flights, "silver.vra", "silver.airlines",
+               "silver.operation_codes")
+    lake.build("gold.obt_flights", gold.obt_flights, "gold.fact_flights", "gold.dim_airport")
 
 
 def refresh(lake: Lake, inputs: Inputs) -> dict[str, int]:
     """Rebuild every table; returns the audited rows and the failures of each rule."""
+    lake.comments.update(dictionary.MEANINGS)
     load_bronze(lake, inputs)
     build_silver(lake)
     watch = build_quarantine(lake)
     build_gold(lake)
-    log_run(lake)
     return watch.get
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -19,26 +19,75 @@ NO_QUOTES = "\u0000"
 _NO_SEPARATOR = "\u0001"
 
 
+def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """``line`` of every file without its first one, the preamble; ``file`` and where it lies."""
+    whole_line = T.StructType([T.StructField("line", T.StringType())])
+    lines = spark.read.schema(whole_line).csv(
+        path, sep=_NO_SEPARATOR, quote=NO_QUOTES, encoding=encoding, header=True,
+        enforceSchema=True)
+    return lines.select(
+        "line", F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"))
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``name`` of every file; contents are not read."""
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select(F.col("path").alias("file"), F.col("_metadata.file_name").alias("name"))
+
+
 def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8",
               quote: str = '"') -> list[str]:
     """The column names on the second line of the first file, for inspection or a schema.
 
-    Two lines of one file reach the driver, whatever the size of the file set.
+    One file name and one line reach the driver, whatever the size of the file set.
     """
-    whole_line = T.StructType([T.StructField("line", T.StringType())])
-    listing = spark.read.schema(whole_line).csv(path)
-    first = min(listing.inputFiles())
-    lines = (
-        spark.read.schema(whole_line)
-        .csv(first, sep=_NO_SEPARATOR, quote=NO_QUOTES, encoding=encoding)
-        .take(2)
-    )
-    if len(lines) < 2:
+    first = _files(spark, path).agg(F.min("file")).first()[0]
+    if first is None:
+        raise FileNotFoundError(f"no file in {path}")
+    line = _lines(spark, first, encoding).agg(F.min_by("line", "place")).first()[0]
+    if line is None:
         raise ValueError(f"{first} has no header line after its preamble")
-    names = lines[1]["line"].lstrip("﻿").split(sep)
+    names = line.lstrip("\ufeff").split(sep)
     return [name.strip(quote) if quote != NO_QUOTES else name for name in names]
 
 
+def require_headers(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ";",
+                    encoding: str = "UTF-8", quote: str = '"', told: int = 20) -> None:
+    """Refuse files whose line after the preamble is not exactly the expected header.
+
+    A renamed, swapped, missing or extra column, a second preamble and a file without a header
+    would all load as data or shift it. The lines are counted per file where they lie; the driver
+    gets the names of the first ``told`` bad files, and none if all is well.
+    """
+    expected = sep.join(columns)
+    plain = F.col("line") if quote == NO_QUOTES else F.translate("line", quote, "")
+    is_header = F.coalesce(F.rtrim(F.ltrim(plain, F.lit("\ufeff")), F.lit("\r"))
+                           == F.lit(expected), F.lit(False))
+    found = _lines(spark, path, encoding).groupBy("file").agg(
+        F.min_by(is_header, "place").alias("opens"))
+    bad = _files(spark, path).join(found.where("opens").select("file"), "file", "left_anti")
+    names = [row["name"] for row in bad.orderBy("name").limit(told).collect()]
+    if names:
+        raise ValueError(f"header {expected!r} expected as the second line of {', '.join(names)}")
+
+
+def write_delimited(df: DataFrame, path: str, file: Column, preamble: str, sep: str = ";") -> None:
+    """Write text columns as files with a preamble and a header line, one folder per ``file``.
+
+    Values are written as they are, so they must hold no separator or line end. Rows of a file
+    meet in one task, as a file has one writer; lines keep no order but the first two.
+    """
+    value = F.concat_ws(sep, *[F.coalesce(named(c).cast("string"), F.lit(""))
+                               for c in df.columns])
+    body = df.select(file.alias("file"), F.lit(2).alias("rank"), value.alias("value"))
+    opening = body.select("file").distinct().select("file", F.inline(F.array(
+        F.struct(F.lit(0).alias("rank"), F.lit(preamble).alias("value")),
+        F.struct(F.lit(1).alias("rank"), F.lit(sep.join(df.columns)).alias("value")))))
+    lines = opening.unionByName(body).repartition("file").sortWithinPartitions("file", "rank")
+    lines.select("file", "value").write.partitionBy("file").text(path)
+
+
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                    sep: str = ";", encoding: str = "UTF-8", quote: str = '"',
                    escape: str | None = None,
@@ -47,8 +96,9 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] | None
 
     ``header`` drops the first line of each file, which is the preamble, in whichever
     split it falls. The header line that is left equals the column names and is filtered,
-    so files stay splittable and nothing is skipped by position on the driver. Pass
-    ``spark.readStream`` as ``reader`` to follow a folder.
+    so files stay splittable and nothing is skipped by position on the driver; see
+    :func:`require_headers` for files that may differ. Pass ``spark.readStream`` as ``reader`` to
+    follow a folder.
     """
     if columns is None:
         columns = header_of(spark, path, sep, encoding, quote)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmaq.operators.audit import row_counts
 from tarmaq.sources.snapshots import (
     load_history,
     read_snapshot,
@@ -15,31 +17,57 @@ from tarmaq.sources.snapshots import (
 )
 
 
+RUN_LOG = "audit.run_log"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class Lake:
-    """Tables ``layer.table`` under one root folder."""
+    """Tables ``layer.table`` under one root folder; ``comments`` describe columns by name."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, comments: Mapping[str, str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.comments = dict(comments or {})
 
     def _folder(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
     def write(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """Refresh a table in full and return it; the catalog name follows the new snapshot."""
+        """Refresh a table in full and return it; the catalog name follows the new snapshot.
+
+        The name is a view that one statement replaces, so it answers at any time, with the old
+        rows or the new. It carries the columns' comments.
+        """
         folder = self._folder(name)
         version = write_snapshot(df, folder, partition_by=partition_by)
         layer = name.split(".")[0]
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, snapshot_path(folder, version), source="parquet")
-        if partition_by is not None:
-            self.spark.catalog.recoverPartitions(name)
-        return self.read(name)
+        written = self.read(name, version)
+        columns = ", ".join(f"`{c}`" + (f" COMMENT {_quoted(self.comments[c])}"
+                                        if c in self.comments else "") for c in written.columns)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} ({columns}) AS "
+                       f"SELECT * FROM parquet.`{snapshot_path(folder, version)}`")
+        return written
+
+    def build(self, name: str, make: Callable[..., DataFrame], *sources: str,
+              partition_by: str | None = None) -> DataFrame:
+        """Write what ``make`` returns for the named tables, and log that they fed it.
+
+        Without sources the table is a file load, logged with a blank source.
+        """
+        written = self.write(name, make(*[self.read(s) for s in sources]), partition_by)
+        edges = F.array(*[F.lit(s) for s in sources or [""]])
+        self.append(RUN_LOG, self.spark.range(0, 1, 1, 1).select(
+            F.explode(edges).alias("source"), F.lit(name).alias("target"),
+            F.current_date().alias("event_date")))
+        return written
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows to a log table, which has no snapshots."""
-        df.coalesce(1).write.mode("append").parquet(self._folder(name))
+        df.write.mode("append").parquet(self._folder(name))
 
     def read_appended(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._folder(name))
@@ -59,14 +87,10 @@ class Lake:
 
     def count_tables(self, names: list[str]) -> DataFrame:
         """Row count per named table; NULL for a table that does not exist yet."""
-        def counted(name: str) -> DataFrame:
-            if self.spark.catalog.tableExists(name):
-                rows = self.spark.table(name).agg(F.count("*").alias("rows"))
-            else:
-                rows = self.spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
-            return rows.select(F.lit(name).alias("table_name"), "rows")
-
-        return reduce(DataFrame.unionByName, [counted(name) for name in names])
+        there = {n: self.spark.table(n) for n in names if self.spark.catalog.tableExists(n)}
+        missing = self.spark.createDataFrame(
+            [(n, None) for n in names if n not in there], "table_name string, rows bigint")
+        return reduce(DataFrame.unionByName, [row_counts(there)] if there else [], missing)
 
     def columns(self, layers: list[str]) -> DataFrame:
         """One row per column of every table: the base of a data dictionary."""

@@ -1,7 +1,14 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tarmaq.plans import bronze, vocabulary
-from tarmaq.sources.delimited import NO_QUOTES, header_of, read_delimited
+from tarmaq.sources.delimited import (
+    NO_QUOTES,
+    header_of,
+    read_delimited,
+    require_headers,
+    write_delimited,
+)
 from tests.conftest import rows
 
 HEADER = "Código;Nome;UF"
@@ -68,3 +75,31 @@ def test_company_columns_are_found_by_header(spark, tmp_path):
     assert df.columns[:7] == list(vocabulary.COMPANY_COLUMNS.values())
     assert rows(df.select("icao", "legal_name", "_arquivo_origem")) == sorted(
         [("AZU", "Azul", "nac.csv"), (None, "Sem Codigo", "nac.csv")], key=repr)
+
+
+@pytest.mark.parametrize("name, lines", [
+    ("swapped", ["p", "Nome;Código;UF", "a;b;c"]),
+    ("renamed", ["p", "Código;Nome;Estado", "a;b;c"]),
+    ("extra", ["p", HEADER + ";X", "a;b;c;d"]),
+    ("missing", ["p", "Código;Nome", "a;b"]),
+    ("twopreambles", ["p", "p2", HEADER, "a;b;c"]),
+    ("headless", ["p", "a;b;c"]),
+    ("preambleonly", ["p"]),
+])
+def test_other_headers_are_refused(spark, tmp_path, name, lines):
+    columns = HEADER.split(";")
+    folder = write(tmp_path / "in", "good.csv", ["p", HEADER, "a;b;c"])
+    write(tmp_path / "in", "quoted.csv", ["p", '"Código";"Nome";"UF"', "a;b;c"])
+    require_headers(spark, folder, columns)
+    (tmp_path / "in" / f"{name}.csv").write_text("".join(x + "\n" for x in lines))
+    with pytest.raises(ValueError, match=f"of {name}.csv$"):
+        require_headers(spark, folder, columns)
+
+
+def test_written_files_read_back(spark, tmp_path):
+    df = spark.range(100).select(F.col("id").cast("string").alias("a"), F.lit("é").alias("b"))
+    write_delimited(df, str(tmp_path / "out"), F.col("a").cast("int") % 3, "preamble")
+    files = f"{tmp_path}/out/file=*/*.txt"
+    require_headers(spark, files, ["a", "b"])
+    assert rows(read_delimited(spark, files)) == rows(df)
+    assert header_of(spark, files) == ["a", "b"]

@@ -47,7 +47,7 @@ def test_best_per_key_skips_empty_keys(spark):
 def test_membership_flags_never_change_the_rows(spark, limit):
     df = spark.createDataFrame(
         [(1, "A", "B"), (2, "A", None), (3, "", "C"), (3, "", "C")], "id int, o string, d string")
-    registry = spark.createDataFrame([("A",), ("A",), ("",), (None,), ("B",)], "icao string")
+    registry = spark.sql("SELECT * FROM VALUES ('A'), ('A'), (''), (NULL), ('B') AS t(icao)")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
@@ -114,7 +114,7 @@ def test_a_hot_key_is_split_when_the_side_is_too_big_to_broadcast(spark):
             F.col("id") % 3 == 0, "HOT").otherwise((F.col("id") % 5000).cast("string")).alias("code"))
         registry = spark.range(4000).select(F.col("id").cast("string").alias("icao")).union(
             spark.createDataFrame([("HOT",)], "icao string"))
-        marked = mark_membership(steps, [Mark("known", "code", registry, "icao")])
+        marked = mark_membership(steps, [Mark("known", "code", registry, "icao", unique=True)])
         counted = {row["known"]: row["count"] for row in marked.groupBy("known").count().collect()}
         joined = marked.persist()
         assert joined.count() == 300_000
@@ -124,3 +124,17 @@ def test_a_hot_key_is_split_when_the_side_is_too_big_to_broadcast(spark):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert counted == {True: 260_000, False: 40_000}
+
+
+def test_planning_runs_nothing(spark, tmp_path):
+    spark.range(5).select(F.col("id").cast("string").alias("icao")).write.parquet(str(tmp_path / "r"))
+    registry = spark.read.parquet(str(tmp_path / "r"))
+    df = spark.range(3).select(F.col("id").cast("string").alias("o"))
+    spark.sparkContext.setJobGroup("planning only", "")
+    try:
+        marked = mark_membership(df, [Mark("has", "o", registry, "icao")])
+        best = best_per_key(registry, "icao", ["icao"], ["icao"])
+        plan(marked), plan(best)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

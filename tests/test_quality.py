@@ -70,7 +70,7 @@ def test_distribution_counts_each_reason(spark):
     df = spark.createDataFrame(STEPS, SCHEMA)
     bad = contract.quarantined(df)
     spread = {r["reason"]: r["rows"]
-              for r in quality.violation_distribution(bad, V.REASONS, df).collect()}
+              for r in quality.violation_distribution(df, contract.flight_rules()).collect()}
     assert spread[V.RULE_NAMES[1]] == 3 and spread[V.RULE_NAMES[0]] == 2
     assert quality.quarantine_share(bad, df).first() == (8, 11, 100.0 * 8 / 11)
 

@@ -81,10 +81,42 @@ def test_everything_is_documented_tagged_and_traceable(lake):
     covered = governance.documentation_coverage(lake)
     assert covered.count() == 13 and covered.where("missing > 0").count() == 0
     assert governance.undocumented_columns(lake).count() == 0
-    assert governance.tables_without_tag(lake, "gold", "consumption").count() == 0
-    assert governance.tables_without_tag(lake, "silver", "consumption").count() == 5
-    assert governance.tag_listing(lake).count() == 15
+    assert governance.tables_without_tag(lake, "gold", "grain").count() == 0
+    assert governance.tables_without_tag(lake, "silver", "owner").count() == 5
+    assert governance.tag_listing(lake).count() == 39
     edges = rows(governance.recent_lineage(lake))
     assert ("(file)", "bronze.vra") in edges
-    assert len(edges) == sum(max(1, len(sources)) for sources in refresh.LINEAGE.values())
+    assert ("gold.dim_airport", "gold.obt_flights") in edges
+    assert len(edges) == 20
     assert governance.row_count_report(lake).where(F.col("rows").isNull()).count() == 0
+
+
+def test_names_carry_comments_and_answer_while_they_are_replaced(spark, lake):
+    described = spark.sql("DESCRIBE gold.obt_flights").collect()
+    assert all(r["comment"] for r in described)
+    before = spark.table("gold.dim_airport").count()
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        lake.write("gold.dim_airport", spark.range(3).select(
+            F.expr("1 / (id - id)").alias("x")))
+    assert spark.table("gold.dim_airport").count() == before
+
+
+def test_a_partial_run_logs_its_own_edges(spark, tmp_path):
+    small = Lake(spark, str(tmp_path))
+    small.build("part_a.one", lambda: spark.range(3))
+    small.build("part_b.two", lambda one: one.where("id > 0"), "part_a.one")
+    log = small.read_appended("audit.run_log")
+    assert rows(log.select("source", "target")) == [
+        ("", "part_a.one"), ("part_a.one", "part_b.two")]
+    assert spark.table("part_b.two").count() == 2
+
+
+def test_validation_report_and_kept_counts(lake):
+    report = {r["check"]: r["verdict"] for r in governance.validation_report(lake, 1).collect()}
+    assert len(report) == 6 and set(report.values()) == {"OK"}
+    strict = governance.validation_report(lake, 0).where("verdict = 'CHECK'").collect()
+    assert [r["found"] for r in strict] == [1]
+    kept = lake.read_appended("audit.expectations")
+    assert kept.count() == 2 * len(V.RULE_NAMES)
+    assert kept.select("checked_at").distinct().count() == 2
+    assert rows(kept.groupBy("rows").agg(F.sum("failed"))) == [(7, 6)]

@@ -2,11 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmaq.operators import audit
-from tarmaq.operators.lookup import attach
 from tarmaq.session import shared_folder
-from tarmaq.sources import shared
 from tarmaq.sources.lake import Lake
-from tarmaq.sources.shared import fingerprint, settle, spread, stored_once
+from tarmaq.sources.shared import fingerprint, stored_once
 from tarmaq.sources.snapshots import load_history, read_snapshot, write_snapshot
 from tests.conftest import plan, rows
 
@@ -64,27 +62,8 @@ def test_lake_partitions_are_pruned(spark, tmp_path):
     assert odd.count() == 5 and "PartitionFilters: [isnotnull(part" in plan(odd)
 
 
-def test_settled_tables_lie_in_the_shared_folder(spark):
-    side = settle(spark.range(3), "three")
+def test_shared_folder_is_the_named_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert all(shared_folder(spark) in file for file in side.inputFiles())
-    assert side.count() == 3
-
-
-def test_a_side_that_unpacks_too_large_is_not_broadcast(spark, monkeypatch):
-    side = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("x" * 50).alias("t"))
-    steps = spark.range(100).select(F.col("id").cast("string").alias("code"))
-    small = attach(steps, "code", settle(side, "s"), "k", {"t": "text"})
-    monkeypatch.setattr(shared, "LARGEST_BROADCAST_BYTES", 5000)
-    large = attach(steps, "code", settle(side, "s"), "k", {"t": "text"})
-    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
-    assert rows(small) == rows(large)
-
-
-def test_only_thin_scans_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert "RoundRobinPartitioning" in plan(spread(spark.range(0, 9, 1, 1)))
-    assert "Exchange" not in plan(spread(spark.range(0, 9, 1, cores)))
 
 
 def test_stored_once_builds_once(spark):
