@@ -72,19 +72,23 @@ def require_headers(spark: SparkSession, path: str, columns: Sequence[str], sep:
         raise ValueError(f"header {expected!r} expected as the second line of {', '.join(names)}")
 
 
-def write_delimited(df: DataFrame, path: str, file: Column, preamble: str, sep: str = ";") -> None:
-    """Write text columns as files with a preamble and a header line, one folder per ``file``.
+def write_delimited(df: DataFrame, path: str, file: Column, preamble: str, sep: str = ";",
+                    columns: Sequence[str] | None = None, encoding: str = "UTF-8") -> None:
+    """Write ``columns`` (all by default) as text files with a preamble and a header line, one
+    folder per ``file``.
 
     Values are written as they are, so they must hold no separator or line end. Rows of a file
     meet in one task, as a file has one writer; lines keep no order but the first two.
     """
     value = F.concat_ws(sep, *[F.coalesce(named(c).cast("string"), F.lit(""))
-                               for c in df.columns])
+                               for c in columns or df.columns])
     body = df.select(file.alias("file"), F.lit(2).alias("rank"), value.alias("value"))
     opening = body.select("file").distinct().select("file", F.inline(F.array(
         F.struct(F.lit(0).alias("rank"), F.lit(preamble).alias("value")),
-        F.struct(F.lit(1).alias("rank"), F.lit(sep.join(df.columns)).alias("value")))))
+        F.struct(F.lit(1).alias("rank"), F.lit(sep.join(columns or df.columns)).alias("value")))))
     lines = opening.unionByName(body).repartition("file").sortWithinPartitions("file", "rank")
+    if encoding != "UTF-8":  # the text writer stores bytes as they are
+        lines = lines.withColumn("value", F.encode("value", encoding).cast("string"))
     lines.select("file", "value").write.partitionBy("file").text(path)
 
 
