@@ -5,7 +5,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tarmaq import oracle
 from tarmaq.compare import difference
+from tarmaq.plans.catalogue import QUERIES
 from tests.conftest import DATA
 
 
@@ -17,11 +19,13 @@ def database():
     return connection
 
 
-def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_flight_query_has_an_oracle():
+    assert set(QUERIES) == set(oracle.QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, database, name):
     found = contract.queries()[name](spark, DATA).toArrow()
     wanted = database.sql(contract.oracle_sql()[name]).to_arrow_table()
