@@ -65,7 +65,8 @@ VIEWS = {
           strftime(scheduled_arrival, '%H:%M') AS scheduled_arrival_time,
           CAST(actual_arrival AS DATE) AS actual_arrival_date,
           strftime(actual_arrival, '%H:%M') AS actual_arrival_time,
-          flight_status, CAST(NULL AS VARCHAR) AS justification_code,
+          flight_status, CASE WHEN l_orderkey % 7 = 0
+            THEN 'J' || CAST(l_orderkey % 9 AS VARCHAR) END AS justification_code,
           CAST(date_sub('minute', scheduled_departure, actual_departure) AS INT)
             AS departure_delay_min,
           CAST(date_sub('minute', scheduled_arrival, actual_arrival) AS INT) AS arrival_delay_min,
@@ -76,9 +77,10 @@ VIEWS = {
     "airlines": """
         SELECT CASE WHEN s_suppkey % 13 = 0 THEN ''
                     ELSE 'A' || lpad(CAST(s_suppkey % 90 AS VARCHAR), 3, '0') END AS icao,
-          CAST(NULL AS VARCHAR) AS iata_code, s_name AS legal_name,
-          CAST(NULL AS VARCHAR) AS service, CAST(NULL AS VARCHAR) AS city,
-          CAST(NULL AS VARCHAR) AS state,
+          'I' || CAST(s_suppkey % 36 AS VARCHAR) AS iata_code, s_name AS legal_name,
+          CASE WHEN s_suppkey % 2 = 0 THEN 'Regular' END AS service,
+          'Cidade ' || CAST(s_nationkey AS VARCHAR) AS city,
+          CASE WHEN s_nationkey < 13 THEN 'U' || CAST(s_nationkey % 5 AS VARCHAR) END AS state,
           CASE WHEN s_acctbal >= 5000 THEN 'ATIVA' ELSE 'INATIVA' END AS status,
           CASE WHEN s_nationkey < 13 THEN 'national' ELSE 'foreign' END AS registry_origin,
           CASE WHEN s_nationkey < 13 THEN 'national.csv' ELSE 'foreign.csv' END AS _arquivo_origem
@@ -89,19 +91,22 @@ VIEWS = {
           n_name AS name, 'Cidade ' || n_name AS municipality, r_name AS state_name,
           CASE WHEN n_nationkey % 7 = 0 THEN 'N/D'
                ELSE CAST(n_nationkey * 37 AS VARCHAR) || ',' || CAST(n_nationkey % 10 AS VARCHAR)
-          END AS altitude
+          END AS altitude, 'CI' || CAST(n_nationkey AS VARCHAR) AS ciad,
+          'Perto de ' || n_name AS served_municipality,
+          CASE WHEN n_nationkey % 2 = 0 THEN r_name END AS served_state_name,
+          CAST(n_nationkey AS VARCHAR) || 'S' AS latitude_dms,
+          CAST(n_nationkey AS VARCHAR) || 'W' AS longitude_dms,
+          CASE WHEN n_nationkey % 3 <> 0 THEN 'Cadastrado' END AS status
         FROM nation JOIN region ON n_regionkey = r_regionkey
         UNION ALL
         SELECT 'S' || substr('BDXK', n_nationkey % 4 + 1, 1)
                    || lpad(CAST(n_nationkey AS VARCHAR), 2, '0'),
-          'Z ' || n_name, NULL, NULL, '10,5'
+          'Z ' || n_name, NULL, NULL, '10,5', NULL, NULL, NULL, NULL, NULL, NULL
         FROM nation WHERE n_nationkey < 3""",
     "aerodromes": """
-        SELECT icao, CAST(NULL AS VARCHAR) AS ciad, name, municipality, state_name,
-          CAST(NULL AS VARCHAR) AS served_municipality, CAST(NULL AS VARCHAR) AS served_state_name,
-          CAST(NULL AS VARCHAR) AS latitude_dms, CAST(NULL AS VARCHAR) AS longitude_dms,
-          TRY_CAST(replace(altitude, ',', '.') AS DOUBLE) AS altitude_m,
-          CAST(NULL AS VARCHAR) AS status
+        SELECT icao, ciad, name, municipality, state_name, served_municipality,
+          served_state_name, latitude_dms, longitude_dms,
+          TRY_CAST(replace(altitude, ',', '.') AS DOUBLE) AS altitude_m, status
         FROM raw_aerodromes""",
     "codes": """
         SELECT * FROM (VALUES

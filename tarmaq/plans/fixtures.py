@@ -74,7 +74,10 @@ def raw_steps(lineitem: DataFrame) -> DataFrame:
     text = {
         name: _text(name) if name in silver.MOMENTS else F.col(name)
         for name in V.FLIGHT_COLUMNS.values() if name != "justification_code"
-    } | {"justification_code": F.lit(V.MISSING_JUSTIFICATION)}
+    }
+    reason = F.concat(F.lit("J"), (F.col("l_orderkey") % 9).cast("string"))
+    text["justification_code"] = F.when(F.col("l_orderkey") % 7 == 0, reason).otherwise(
+        V.MISSING_JUSTIFICATION)
     month = F.concat(F.lit("VRA_"), (F.col("l_orderkey") % 12).cast("string"), F.lit(".csv"))
     files = F.when(F.col("l_orderkey") % 500 == 0, F.array(month, F.lit("VRA_dup.csv")))
     delivered = steps.withColumn(SOURCE_FILE, F.explode(F.coalesce(files, F.array(month))))
@@ -90,11 +93,12 @@ def raw_companies(supplier: DataFrame, national: bool) -> DataFrame:
     chosen = supplier.where((F.col("s_nationkey") < 13) == F.lit(national))
     return chosen.select(
         F.when(key % 13 == 0, "").otherwise(_airline("s_suppkey", 90)).alias("icao"),
-        F.lit(None).cast("string").alias("iata_code"),
+        F.concat(F.lit("I"), (key % 36).cast("string")).alias("iata_code"),
         F.col("s_name").alias("legal_name"),
-        F.lit(None).cast("string").alias("service"),
-        F.lit(None).cast("string").alias("city"),
-        F.lit(None).cast("string").alias("state"),
+        F.when(key % 2 == 0, "Regular").alias("service"),
+        F.concat(F.lit("Cidade "), F.col("s_nationkey").cast("string")).alias("city"),
+        F.when(F.col("s_nationkey") < 13, F.concat(
+            F.lit("U"), (F.col("s_nationkey") % 5).cast("string"))).alias("state"),
         F.when(F.col("s_acctbal") >= 5000, V.ACTIVE).otherwise("INATIVA").alias("status"),
         F.lit("national.csv" if national else "foreign.csv").alias(SOURCE_FILE),
         F.current_timestamp().alias(INGESTED_AT),
@@ -109,22 +113,25 @@ def raw_aerodromes(nation: DataFrame, region: DataFrame) -> DataFrame:
         F.concat((key * 37).cast("string"), F.lit(","), (key % 10).cast("string")))
     nations = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
 
-    def entries(df: DataFrame, name: Column, municipality: Column, state: Column,
-                height: Column) -> DataFrame:
-        unknown = F.lit(None).cast("string")
+    number = key.cast("string")
+
+    def entries(df: DataFrame, **known: Column) -> DataFrame:
+        code = F.concat(F.lit("S"), letter, F.lpad(number, 2, "0"))
+        known = {"icao": code} | known
         return df.select(
-            F.concat(F.lit("S"), letter, F.lpad(key.cast("string"), 2, "0")).alias("icao"),
-            unknown.alias("ciad"), name.alias("name"), municipality.alias("municipality"),
-            state.alias("state"), unknown.alias("served_municipality"),
-            unknown.alias("served_state"), unknown.alias("latitude"),
-            unknown.alias("longitude"), height.alias("altitude"), unknown.alias("status"),
-            F.current_timestamp().alias(INGESTED_AT),
-        )
-
-    first = entries(nations, F.col("n_name"), F.concat(F.lit("Cidade "), F.col("n_name")),
-                    F.col("r_name"), altitude)
-    second = entries(nations.where(key < 3), F.concat(F.lit("Z "), F.col("n_name")),
-                     F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit("10,5"))
+            *[known.get(name, F.lit(None).cast("string")).alias(name)
+              for name in V.AERODROME_COLUMNS.values()],
+            F.current_timestamp().alias(INGESTED_AT))
+
+    first = entries(
+        nations, ciad=F.concat(F.lit("CI"), number), name=F.col("n_name"),
+        municipality=F.concat(F.lit("Cidade "), F.col("n_name")), state=F.col("r_name"),
+        served_municipality=F.concat(F.lit("Perto de "), F.col("n_name")),
+        served_state=F.when(key % 2 == 0, F.col("r_name")),
+        latitude=F.concat(number, F.lit("S")), longitude=F.concat(number, F.lit("W")),
+        altitude=altitude, status=F.when(key % 3 != 0, "Cadastrado"))
+    second = entries(nations.where(key < 3), name=F.concat(F.lit("Z "), F.col("n_name")),
+                     altitude=F.lit("10,5"))
     return first.unionByName(second)
 
 
