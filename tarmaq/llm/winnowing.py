@@ -114,10 +114,12 @@ def fingerprints_and_edits(documents: DataFrame, id_column: str = "doc_id",
     """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     rows = documents.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"))
-    rows = rows.withColumn("key", row_key("id", "text")).withColumn("size", F.length("text"))
-    links = neighbours(rows.select("id", "key", "size"))
+    rows = rows.withColumn("key", row_key("id", "text"))
+    size = F.length("text")
+    links = neighbours(rows.select("id", "key", size.alias("size")))
+    # Both uses below read all three columns, so that Spark shuffles the texts once for them.
     texts = rows.repartition("key")
-    copy = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    copy = F.row_number().over(Window.partitionBy("key").orderBy("id"))
     found = with_fingerprint(
         texts.withColumn("copy", copy).where("copy = 1").join(links, "key"), "text", "own")
     head = F.substring("text", F.lit(1), F.floor(F.col("earlier_size") / 4).cast("int"))
@@ -132,12 +134,11 @@ def fingerprints_and_edits(documents: DataFrame, id_column: str = "doc_id",
     received = received.groupBy("key").agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in ("head", "own", "next_hashes")])
     joined = texts.join(received, "key").select(
-        "id", "text", "size", "own", "next_hashes", F.concat(F.substring(
-            "text", F.lit(1), F.col("size") - F.floor(F.col("size") / 4).cast("int")), "head")
-        .alias("edited"))
+        "id", "text", "own", "next_hashes", F.concat(F.substring(
+            "text", F.lit(1), size - F.floor(size / 4).cast("int")), "head").alias("edited"))
     both = with_fingerprint(joined, "edited", "changed")
     return both.select(
-        "id", "text", F.col("size").cast("bigint").alias("n_chars"), "edited", "own", "changed",
+        "id", "text", size.cast("bigint").alias("n_chars"), "edited", "own", "changed",
         hashes_of("own").alias("own_hashes"), hashes_of("changed").alias("changed_hashes"),
         "next_hashes")
 
