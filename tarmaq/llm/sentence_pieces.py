@@ -6,13 +6,15 @@ import re
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import chain
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmaq.llm.common import arrow_map, table
+from tarmaq.llm.common import arrow_map, stored, table
 
 #: Words at least this share of all words go into the broadcast dictionary, so it has at most as
 #: many entries as this number, whatever the corpus.
@@ -23,7 +25,9 @@ DICTIONARY_WORD_CHARS = 48
 REMEMBERED_WORDS = 1 << 18
 #: The score of an unknown character, below the least score of a piece, as in the public library.
 UNKNOWN_PENALTY = 10.0
-_UNIT = re.compile(r" [^ \n]*|[^ \n]+|\n")
+_UNIT = re.compile(r" ?\w+| ?[^\w \n]+|\n| ")
+#: Documents whose words are looked up, and if new encoded, together.
+DOCUMENTS_AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -67,30 +71,38 @@ class Pieces:
 
     def fold(self, word: str) -> list[int]:
         """The best segmentation of one word; of equal scores, the shortest last pieces."""
-        ids, scores, longest = self.ids, self.scores, self.longest
-        best, back = [0.0], [0]
-        for end in range(1, len(word) + 1):
-            top, where = None, end - 1
-            for start in range(max(0, end - longest), end):
-                score = scores.get(word[start:end])
-                if score is None:
-                    if start < end - 1:
-                        continue
-                    score = self.unknown
-                if top is None or best[start] + score >= top:
-                    top, where = best[start] + score, start
-            best.append(top)
-            back.append(where)
-        out, end = [], len(word)
-        while end:
-            piece = word[back[end] : end]
-            out.append([ids[piece]] if piece in ids else self.spell(piece))
-            end = back[end]
-        return [i for part in reversed(out) for i in part]
+        return next(iter(self.fold_all([word])))
+
+    def fold_all(self, words: Iterable[str]) -> Iterable[list[int]]:
+        """:meth:`fold` for each word; what a word shares with the one before is not redone."""
+        ids, get, longest, unknown = self.ids, self.scores.get, self.longest, self.unknown
+        best, back, before = [0.0], [0], ""
+        for word in words:
+            shared = len(commonprefix((word, before)))
+            del best[shared + 1 :], back[shared + 1 :]
+            before = word
+            for end in range(shared + 1, len(word) + 1):
+                score = get(word[end - 1 : end], unknown)
+                top, where = best[end - 1] + score, end - 1
+                for start in range(max(0, end - longest), end - 1):
+                    score = get(word[start:end])
+                    if score is not None and best[start] + score > top:
+                        top, where = best[start] + score, start
+                    elif score is not None and best[start] + score == top and start > where:
+                        where = start
+                best.append(top)
+                back.append(where)
+            out, end = [], len(word)
+            while end:
+                piece = word[back[end] : end]
+                out.append([ids[piece]] if piece in ids else self.spell(piece))
+                end = back[end]
+            yield [i for part in reversed(out) for i in part]
 
 
 def units(text: str | None) -> list[str]:
-    """The words that pieces stay within: each starts with its space, and a line feed is its own.
+    """The words that pieces stay within: letters and digits or other signs, with the space before
+    them; a line feed and a further space are words of their own.
 
     Their texts joined are the text after one leading space; an empty text has none.
     """
@@ -102,8 +114,8 @@ def word_counts(documents: DataFrame, text_column: str = "text") -> DataFrame:
 
     def rows(batch: pa.RecordBatch):
         counts: Counter[str] = Counter()
-        for text in batch["text"].to_pylist():
-            counts.update(units(text))
+        for text in batch["text"]:
+            counts.update(units(text.as_py()))
         yield {"word": list(counts), "count": list(counts.values())}
 
     texts = documents.select(F.col(f"`{text_column}`").alias("text"))
@@ -168,6 +180,7 @@ def viterbi(edges: str = "edges", word: str = "word") -> Column:
 def dictionary(counts: DataFrame, pieces: Pieces, entries: int = DICTIONARY_ENTRIES,
                longest: int = DICTIONARY_WORD_CHARS) -> dict[str, bytes]:
     """The frequent words with their ids as 32-bit numbers; ``entries`` at the very most."""
+    counts = stored(counts, "words")
     total = counts.agg(F.sum("count")).first()[0] or 0
     frequent = counts.where((F.col("count") >= max(1, total / entries))
                             & (F.length("word") <= longest)).select("word")
@@ -179,11 +192,11 @@ def dictionary(counts: DataFrame, pieces: Pieces, entries: int = DICTIONARY_ENTR
     return out
 
 
-def _list_column(parts: list[bytes]) -> pa.Array:
+def _list_column(parts: list[bytes], null: pa.Array) -> pa.Array:
     lengths = np.array([len(p) // 4 for p in parts], np.int64)
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets),
-                                    pa.array(np.frombuffer(b"".join(parts), np.int32)))
+    return pa.ListArray.from_arrays(
+        pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)), mask=null)
 
 
 _remembered: dict[int, dict[str, bytes]] = {}
@@ -211,20 +224,19 @@ def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
         pieces, frequent = known.value
         rare = _remembered.setdefault(number, {})
 
-        def ids_of(word: str) -> bytes:
-            found = frequent.get(word) or rare.get(word)
-            if found is None:
-                if len(rare) >= REMEMBERED_WORDS:
-                    rare.clear()
-                found = rare[word] = np.array(pieces.fold(word), np.int32).tobytes()
-            return found
-
-        texts = batch[text_column].to_pylist()
-        ids = _list_column([b"".join(map(ids_of, units(t))) for t in texts])
-        null = pa.array([t is None for t in texts], pa.bool_())
-        if any(t is None for t in texts):
-            ids = pa.array([None if n else x for n, x in zip(null.to_pylist(), ids.to_pylist(),
-                                                             strict=True)], pa.list_(pa.int32()))
+        texts, parts = batch[text_column], []
+        for at in range(0, len(texts), DOCUMENTS_AT_ONCE):
+            told = [units(t) for t in texts[at : at + DOCUMENTS_AT_ONCE].to_pylist()]
+            words = set(chain.from_iterable(told))
+            new = sorted(w for w in words if w not in frequent and w not in rare)
+            if len(rare) + len(new) > REMEMBERED_WORDS:
+                rare.clear()
+                new = sorted(w for w in words if w not in frequent)
+            rare.update(zip(new, (np.array(ids, np.int32).tobytes()
+                                  for ids in pieces.fold_all(new)), strict=True))
+            here = {w: frequent.get(w) or rare[w] for w in words}
+            parts += [b"".join(map(here.__getitem__, t)) for t in told]
+        ids = _list_column(parts, texts.is_null())
         yield {c: batch[c] for c in others} | {ids_column: ids}
 
     return arrow_map(rows_in, rows, f"{fields}, `{ids_column}` array<int>")
@@ -239,9 +251,10 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_column: str = "ids",
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows_in.schema)
 
     def rows(batch: pa.RecordBatch):
-        spelled = known.value.__getitem__
-        out = [None if ids is None else b"".join(map(spelled, ids))[1:].decode()
-               for ids in batch[ids_column].to_pylist()]
+        spelled, out = known.value.__getitem__, []
+        for ids in batch[ids_column]:  # one document's numbers at a time become objects
+            out.append(b"".join(map(spelled, ids.values.to_numpy().tolist()))[1:].decode()
+                       if ids.is_valid else None)
         yield {c: batch[c] for c in others} | {text_column: out}
 
     return arrow_map(rows_in, rows, f"{fields}, `{text_column}` string")
