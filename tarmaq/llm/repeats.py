@@ -146,17 +146,22 @@ def _judge(found: DataFrame, label: str) -> DataFrame:
 
     ``settled``: the whole context occurs again. ``open``: its windows are yet to be compared with
     those of other contexts around the seed, of which there are ``width``.
+
+    What the runs are joined with is a table, not an aggregate: then both sides of the join come
+    straight from a shuffle, and Spark can split a seed or context with very many runs.
     """
     frequent = found.groupBy("seed").agg(F.sum("weight").alias("total")).where("total > 1")
-    hits = stored(found.join(frequent.select("seed"), "seed"), f"{label}-hits")
+    hits = stored(found.join(stored(frequent.select("seed"), f"{label}-frequent"), "seed"),
+                  f"{label}-hits")
     contexts = hits.groupBy("seed", "context").agg(
         F.sum("weight").alias("total"), F.min("key").alias("owner"))
-    widths = contexts.groupBy("seed").agg(F.count("*").alias("width"))
+    widths = stored(contexts.groupBy("seed").agg(F.count("*").alias("width")).where("width > 1"),
+                    f"{label}-widths")
     first = (F.col("total") == 1) | (F.col("key") == F.col("owner"))
     return stored(
-        hits.join(contexts.join(widths, "seed"), ["seed", "context"]).select(
+        hits.join(contexts.join(widths, "seed", "left"), ["seed", "context"]).select(
             *[c for c in hits.columns if c != "context"], (F.col("total") > 1).alias("settled"),
-            ((F.col("width") > 1) & first).alias("open"), "width"),
+            (F.col("width").isNotNull() & first).alias("open"), "width"),
         f"{label}-judged")
 
 
