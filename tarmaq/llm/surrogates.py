@@ -17,15 +17,22 @@ from tarmaq.llm.common import arrow_map, row_key, stored, table
 
 KEY = b"replace me: the key that makes surrogates repeatable"
 
-_CAPITALISED = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][\w'’-]*[a-zß-öø-ÿα-ωа-яё]"
+_UPPER = "A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ"
+_CAPITALISED = rf"[{_UPPER}][\w'’-]*[a-zß-öø-ÿα-ωа-яё]"
+#: In capitals nothing but such a word shows where a name ends.
+_NO_NAME = ("A|AN|AND|ARE|AS|AT|BUT|BY|FOR|FROM|HAD|HAS|HE|HER|HIS|IN|IS|IT|NOT|OF|ON|OR|SAID|SAYS|"
+            "SHE|THAT|THE|THEY|THIS|TO|WAS|WERE|WHO|WILL|WITH")
+_SHOUTED = rf"(?!(?:{_NO_NAME})\b)[{_UPPER}](?:['’-]?[{_UPPER}])+(?![\w])"
+_NAME_WORD = rf"(?:{_CAPITALISED}|{_SHOUTED})"
 _FEMALE = r"Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Κυρία|Госпожа"
 _MALE = r"Mr|Herr|Señor|Monsieur|Κύριος|Господин"
-_TITLE = rf"(?:{_FEMALE}|{_MALE}|Dr|Prof)\b\.?"
+_TITLE = rf"(?i:{_FEMALE}|{_MALE}|Dr|Prof)\b\.?"
+_SECRET_WORD = "(?i:password|passwd|secret|token|api_?key)"
 
 #: Type and pattern; where patterns meet, the earlier type wins. The group ``e`` is the entity.
 PATTERNS: tuple[tuple[str, str], ...] = (
     ("email", r"(?P<e>[A-Za-z0-9][\w.+-]*@[A-Za-z0-9](?:[\w-]*\.)+[A-Za-z]{2,})"),
-    ("secret", r"(?:password|passwd|secret|token|api_?key)[\"']?\s*[=:]\s*[\"']?"
+    ("secret", rf"{_SECRET_WORD}[\"']?\s*[=:]\s*[\"']?"
                r"(?P<e>[A-Za-z0-9/+_-]{8,})"),
     ("access_key", r"\b(?P<e>(?:AKIA|ASIA)[A-Z0-9]{16})\b"),
     ("iban", r"\b(?P<e>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)\b"),
@@ -35,10 +42,10 @@ PATTERNS: tuple[tuple[str, str], ...] = (
     ("national_id", r"(?<![\w-])(?P<e>\d{3}-\d{2}-\d{4})(?![\w-])"),
     ("phone", r"(?<![\w.+-])(?P<e>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
               r"|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"),
-    ("person", rf"\b{_TITLE}\s+(?P<e>{_CAPITALISED}(?:\s{_CAPITALISED}){{0,2}})"),
+    ("person", rf"\b{_TITLE}\s+(?P<e>{_NAME_WORD}(?:\s{_NAME_WORD}){{0,2}})"),
 )
 #: Characters of which every entity above holds one, or a title; other texts are not searched.
-_MAYBE = re.compile(rf"[0-9@]|(?i:password|passwd|secret|token|api_?key)|{_TITLE}")
+_MAYBE = re.compile(rf"[\d@]|AKIA|ASIA|{_SECRET_WORD}|{_TITLE}")
 _ALL = [(kind, re.compile(pattern)) for kind, pattern in PATTERNS]
 
 #: Alphabets within which a character is replaced by another of its kind.
@@ -46,7 +53,8 @@ ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUV
              "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
              "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
              "äöüßéèêëàâáíìîïóòôñúùûçåøæ", "ÄÖÜÉÈÊËÀÂÁÍÌÎÏÓÒÔÑÚÙÛÇÅØÆ")
-_HEX, _UPPER_DIGITS = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+_HEX, _UPPER_HEX = "0123456789abcdef", "0123456789ABCDEF"
+_UPPER_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 #: Syllables of made-up names and their endings by gender, by script.
 _NAMES = {
     "latin": (["ka", "lo", "mi", "re", "sa", "ti", "no", "ve", "du", "pa", "ri", "gu"],
@@ -88,7 +96,7 @@ def _canonical(kind: str, text: str, gender: str) -> str | None:
     if kind == "iban":
         return text.replace(" ", "")
     if kind == "person":
-        return f"{gender}:{' '.join(text.split())}"
+        return f"{gender}:{' '.join(w.title() if w.isupper() else w for w in text.split())}"
     return text
 
 
@@ -104,8 +112,8 @@ def find(text: str | None) -> list[Entity]:
             if any(a < end and start < b for a, b in taken):
                 continue
             title = match.group(0)[: start - match.start()].strip(" .\t\n")
-            gender = ("female" if re.fullmatch(_FEMALE, title) else
-                      "male" if re.fullmatch(_MALE, title) else "")
+            gender = ("female" if re.fullmatch(_FEMALE, title, re.I) else
+                      "male" if re.fullmatch(_MALE, title, re.I) else "")
             name = _canonical(kind, match.group("e"), gender)
             if name is not None:
                 found.append(Entity(start, end, kind, name))
@@ -175,6 +183,8 @@ class Generator:
             return name[:4] + self._spell(name[4:], (_UPPER_DIGITS,), tweak)
         if kind == "secret" and re.fullmatch("[0-9a-f]+", name):
             return self._spell(name, (_HEX,), tweak)
+        if kind == "secret" and re.fullmatch("[0-9A-F]+", name):
+            return self._spell(name, (_UPPER_HEX,), tweak)
         if kind == "iban":
             return name[:2] + self._spell(name[2:], ALPHABETS[:3], tweak)
         if kind == "email":
@@ -205,6 +215,8 @@ def render(kind: str, mention: str, surrogate: str) -> str:
     """The surrogate in the layout of one mention."""
     if kind == "person":
         words = surrogate.partition(":")[2].split()
+        words = [w.upper() if m.isupper() else w
+                 for m, w in zip(mention.split(), words, strict=True)]
         gaps = re.findall(r"\s+", mention)
         return words[0] + "".join(g + w for g, w in zip(gaps, words[1:], strict=False))
     if kind == "email" and mention != mention.lower():
