@@ -25,11 +25,33 @@ DICTIONARY_WORD_CHARS = 48
 REMEMBERED_WORDS = 1 << 18
 #: The score of an unknown character, below the least score of a piece, as in the public library.
 UNKNOWN_PENALTY = 10.0
-_UNIT = re.compile(r" ?\w+| ?[^\w \n]+|\n| ")
+#: Kinds of characters between which a text may be parted: letters and digits, underscores, spaces,
+#: line feeds, other signs.
+_KINDS = (r"[^\W_]", "_", " ", r"\n", r"[^\w \n]")
 #: Documents whose words are looked up, and if new encoded, together.
 DOCUMENTS_AT_ONCE = 256
 
 
+def word_pattern(pieces: Iterable[str]) -> re.Pattern[str]:
+    """Finds the words that no piece reaches over, derived from the pieces themselves.
+
+    A text is parted between two kinds of characters only if no piece holds such a pair, so the
+    best segmentations of the words, joined, are the best one of the whole text.
+    """
+    single = [re.compile(k) for k in _KINDS]
+
+    def kind(c: str) -> int:
+        return next(i for i, k in enumerate(single) if k.fullmatch(c))
+
+    crossed = {(kind(a), kind(b)) for p in pieces for a, b in zip(p, p[1:], strict=False)}
+    runs = [f"{k}++" if (i, i) in crossed else k for i, k in enumerate(_KINDS)]
+    more = []
+    for i, run in enumerate(runs):
+        before = "|".join(k for j, k in enumerate(_KINDS) if j != i and (j, i) in crossed)
+        more += [f"(?<={before}){run}"] if before else []
+    return re.compile(f"(?:{'|'.join(runs)})" + (f"(?:{'|'.join(more)})*+" if more else ""))
+
+
 @dataclass(frozen=True)
 class Pieces:
     """A piece table: texts with a plain space for the word mark, their ids and scores."""
@@ -40,21 +62,20 @@ class Pieces:
     texts: dict[int, bytes] = field(repr=False)
     longest: int
     unknown: float
+    #: Finds the words of a text: see :func:`word_pattern`.
+    words: re.Pattern[str]
 
     @classmethod
     def of(cls, entries: Iterable[tuple[int, str, float]], byte_ids: Iterable[int]) -> Pieces:
-        """``entries`` are ``id, piece, score`` with U+2581 for a space, without special ones.
-
-        A piece with a space after its first character can not occur in a word and is left out.
-        """
+        """``entries`` are ``id, piece, score`` with U+2581 for a space, without special ones."""
         kept = [(i, p.replace("▁", " "), s) for i, p, s in entries]
-        kept = [(i, p, s) for i, p, s in kept if " " not in p[1:] and "\n" not in p]
         byte_ids = tuple(byte_ids)
         texts = {i: p.encode() for i, p, _ in kept} | {
             i: bytes([b]) for b, i in enumerate(byte_ids)}
         return cls({p: i for i, p, _ in kept}, {p: s for _, p, s in kept}, byte_ids, texts,
                    max((len(p) for _, p, _ in kept), default=1),
-                   min((s for _, _, s in kept), default=0.0) - UNKNOWN_PENALTY)
+                   min((s for _, _, s in kept), default=0.0) - UNKNOWN_PENALTY,
+                   word_pattern(p for _, p, _ in kept))
 
     @classmethod
     def from_model(cls, path: str) -> Pieces:
@@ -100,23 +121,29 @@ class Pieces:
             yield [i for part in reversed(out) for i in part]
 
 
-def units(text: str | None) -> list[str]:
-    """The words that pieces stay within: letters and digits or other signs, with the space before
-    them; a line feed and a further space are words of their own.
+def units(text: str | None, words: re.Pattern[str] | None = None) -> list[str]:
+    """The words of a text that a pattern finds; without one the whole text is one.
 
     Their texts joined are the text after one leading space; an empty text has none.
     """
-    return _UNIT.findall(" " + text) if text else []
+    if not text:
+        return []
+    return words.findall(" " + text) if words else [" " + text]
+
 
+def word_counts(documents: DataFrame, pieces: Pieces, text_column: str = "text",
+                longest: int = DICTIONARY_WORD_CHARS) -> DataFrame:
+    """``word, count`` over all whole texts, for words of at most ``longest`` characters; counts
+    are combined in each batch first."""
 
-def word_counts(documents: DataFrame, text_column: str = "text") -> DataFrame:
-    """``word, count`` over all whole texts; counts are combined in each batch first."""
+    pattern = pieces.words
 
     def rows(batch: pa.RecordBatch):
         counts: Counter[str] = Counter()
         for text in batch["text"]:
-            counts.update(units(text.as_py()))
-        yield {"word": list(counts), "count": list(counts.values())}
+            counts.update(units(text.as_py(), pattern))
+        short = {w: n for w, n in counts.items() if len(w) <= longest}
+        yield {"word": list(short), "count": list(short.values())}
 
     texts = documents.select(F.col(f"`{text_column}`").alias("text"))
     partial = arrow_map(texts, rows, "word string, count bigint")
@@ -214,7 +241,8 @@ def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
     """
     spark = documents.sparkSession
     known = spark.sparkContext.broadcast(
-        (pieces, dictionary(word_counts(documents, text_column), pieces, entries, longest)))
+        (pieces, dictionary(word_counts(documents, pieces, text_column, longest), pieces, entries,
+                            longest)))
     number = known.id if hasattr(known, "id") else 0
     others = [c for c in documents.columns if c != ids_column]
     rows_in = documents.select(*[F.col(f"`{c}`") for c in others])
@@ -226,15 +254,16 @@ def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
 
         texts, parts = batch[text_column], []
         for at in range(0, len(texts), DOCUMENTS_AT_ONCE):
-            told = [units(t) for t in texts[at : at + DOCUMENTS_AT_ONCE].to_pylist()]
+            told = [units(t, pieces.words) for t in texts[at : at + DOCUMENTS_AT_ONCE].to_pylist()]
             words = set(chain.from_iterable(told))
             new = sorted(w for w in words if w not in frequent and w not in rare)
             if len(rare) + len(new) > REMEMBERED_WORDS:
                 rare.clear()
                 new = sorted(w for w in words if w not in frequent)
-            rare.update(zip(new, (np.array(ids, np.int32).tobytes()
+            here = dict(zip(new, (np.array(ids, np.int32).tobytes()
                                   for ids in pieces.fold_all(new)), strict=True))
-            here = {w: frequent.get(w) or rare[w] for w in words}
+            rare.update((w, ids) for w, ids in here.items() if len(w) <= DICTIONARY_WORD_CHARS)
+            here.update((w, frequent.get(w) or rare[w]) for w in words if w not in here)
             parts += [b"".join(map(here.__getitem__, t)) for t in told]
         ids = _list_column(parts, texts.is_null())
         yield {c: batch[c] for c in others} | {ids_column: ids}

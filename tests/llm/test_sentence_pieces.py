@@ -85,3 +85,61 @@ def test_public_model(spark):
 def test_empty_table(spark, pieces):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert decode(encode(df, pieces), pieces).collect() == []
+
+
+def whole_text_ids(text, entries, byte_ids):
+    """Viterbi over the whole text, from the entries alone."""
+    text = " " + text
+    table = {p.replace("▁", " "): (i, s) for i, p, s in entries}
+    unknown = min(s for _, s in table.values()) - 10
+    longest = max(map(len, table))
+    best = [(0.0, 0, [])]
+    for end in range(1, len(text) + 1):
+        ways = []
+        for start in range(max(0, end - longest), end):
+            found = table.get(text[start:end])
+            if found:
+                ways.append((best[start][0] + found[1], start, [found[0]]))
+            elif end - start == 1:
+                ways.append((best[start][0] + unknown, start,
+                             [byte_ids[b] for b in text[start].encode()]))
+        best.append(max(ways, key=lambda w: w[:2]))
+    out, end = [], len(text)
+    while end:
+        out.append(best[end][2])
+        end = best[end][1]
+    return [i for part in reversed(out) for i in part]
+
+
+CODE = ["x_{i}^{2}+\\_a", "def __init__(self, *_): return self._x", "a->_b ._c\n    if (__name__):",
+        "\\frac{a_{1}}{b_{2}} _ __ '_' \"__\"", "  two  spaces\t_{\n\n  x", "don't U.S. 3.5%_"]
+
+
+@pytest.mark.parametrize("entries", [1, 1 << 20])
+def test_bundled_pieces_across_signs(spark, entries):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=default_model())
+    rows = [(i, model.id_to_piece(i), model.get_score(i)) for i in range(model.vocab_size())
+            if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    pieces = Pieces.from_model(default_model())
+    df = spark.createDataFrame(list(enumerate(CODE)), "doc_id long, text string")
+    ids = {r.doc_id: r.ids for r in encode(df, pieces, entries=entries).collect()}
+    assert ids == {i: whole_text_ids(t, rows, pieces.byte_ids) for i, t in enumerate(CODE)}
+    assert model.piece_to_id("_{") in ids[0]
+    assert {model.piece_to_id("▁" * n) for n in (2, 3, 4)} & set(ids[2])
+
+
+@pytest.mark.parametrize("crossing", [["'s", "U.S."], ["of▁the", "▁▁"], [".\n", "_{"], []])
+def test_unigram_pieces_across_words(spark, crossing):
+    rng = random.Random(3)
+    singles = "abUS.'▁_{ofthe\n"
+    rows = [(i, t, -float(rng.randint(5, 30))) for i, t in enumerate([*singles, "ab", "▁a", "the"])]
+    rows += [(100 + i, t, -2.0) for i, t in enumerate(crossing)]
+    pieces = Pieces.of(rows, BYTES)
+    texts = ["a's  U.S. of the", "b.\nab _{a}", "U.S.'s of  the\n\n_{_", "é's", " "] + [
+        "".join(rng.choice(singles.replace("▁", " ")) for _ in range(60)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    encoded = encode(df, pieces)
+    found = {r.doc_id: (r.ids, r.decoded) for r in decode(encoded, pieces).collect()}
+    assert found == {i: (whole_text_ids(t, rows, list(BYTES)), t) for i, t in enumerate(texts)}
