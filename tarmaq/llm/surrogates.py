@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +35,7 @@ _SECRET_WORD = "(?i:password|passwd|secret|token|api_?key)"
 PATTERNS: tuple[tuple[str, str], ...] = (
     ("email", r"(?P<e>[A-Za-z0-9][\w.+-]*@[A-Za-z0-9](?:[\w-]*\.)+[A-Za-z]{2,})"),
     ("secret", rf"{_SECRET_WORD}[\"']?\s*[=:]\s*[\"']?"
-               r"(?P<e>[A-Za-z0-9/+_-]{8,})"),
+               r"(?P<e>(?=[/+_-]*[A-Za-z0-9])[A-Za-z0-9/+_-]{8,})"),
     ("access_key", r"\b(?P<e>(?:AKIA|ASIA)[A-Z0-9]{16})\b"),
     ("iban", r"\b(?P<e>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)\b"),
     ("ipv4", r"(?<![\d.])(?P<e>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}"
@@ -68,6 +70,10 @@ _NAMES = {
 }
 
 
+#: After so many attempts to find a free surrogate of the same length, longer ones are taken.
+SAME_LENGTH_ATTEMPTS = 4
+
+
 @dataclass(frozen=True)
 class Entity:
     start: int
@@ -86,6 +92,8 @@ def luhn_digit(digits: str) -> str:
 
 
 def _canonical(kind: str, text: str, gender: str) -> str | None:
+    if kind in ("card", "phone", "national_id", "iban", "ipv4"):  # in ASCII digits
+        text = "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
     if kind == "card":
         digits = re.sub(r"\D", "", text)
         return digits if luhn_digit(digits[:-1]) == digits[-1] else None
@@ -167,50 +175,64 @@ class Generator:
         return "".join(reversed(out))
 
     def surrogate(self, kind: str, name: str, attempt: int = 0) -> str:
-        """Another canonical name of the same kind and format."""
+        """Another canonical name of the same kind and format.
+
+        Later attempts give longer ones: names of one shape still never share one, and as the length
+        doubles with each attempt, no earlier surrogate and no real name stays in the way.
+        """
         tweak = f"{kind}/{attempt}"
+        longer = (0 if attempt < SAME_LENGTH_ATTEMPTS
+                  else 1 << (attempt - SAME_LENGTH_ATTEMPTS))
         if kind == "ipv4":
             octets = [int(x) for x in name.split(".")]
             number = self._permute(int.from_bytes(bytes(octets), "big"), 1 << 32, tweak)
-            return ".".join(map(str, number.to_bytes(4, "big")))
+            return ".".join(map(str, [*number.to_bytes(4, "big"), *[0] * longer]))
         if kind == "card":
-            body = name[0] + self._spell(name[1:-1], ALPHABETS[:1], tweak)
+            body = name[0] + self._spell(name[1:-1] + "0" * longer, ALPHABETS[:1], tweak)
             return body + luhn_digit(body)
         if kind == "phone" and name.startswith("+"):
             country = name[: max(2, len(name) - 10)]
-            return country + self._spell(name[len(country):], ALPHABETS[:1], tweak)
+            return country + self._spell(name[len(country):] + "0" * longer, ALPHABETS[:1], tweak)
         if kind == "access_key":
-            return name[:4] + self._spell(name[4:], (_UPPER_DIGITS,), tweak)
+            return name[:4] + self._spell(name[4:] + "A" * longer, (_UPPER_DIGITS,), tweak)
         if kind == "secret" and re.fullmatch("[0-9a-f]+", name):
-            return self._spell(name, (_HEX,), tweak)
+            return self._spell(name + "0" * longer, (_HEX,), tweak)
         if kind == "secret" and re.fullmatch("[0-9A-F]+", name):
-            return self._spell(name, (_UPPER_HEX,), tweak)
+            return self._spell(name + "0" * longer, (_UPPER_HEX,), tweak)
         if kind == "iban":
-            return name[:2] + self._spell(name[2:], ALPHABETS[:3], tweak)
+            return name[:2] + self._spell(name[2:] + "0" * longer, ALPHABETS[:3], tweak)
         if kind == "email":
             local, _, domain = name.partition("@")
             hosts, dot, top = domain.rpartition(".")
+            local += "a" * longer
             return f"{self._spell(local + '@' + hosts, ALPHABETS, tweak)}{dot}{top}"
         if kind == "person":
             gender, _, words = name.partition(":")
             return f"{gender}:" + " ".join(
-                self._given(w, gender if i == 0 else "", f"{tweak}/{name}/{i}")
+                self._given(w, gender if i == 0 else "", f"{tweak}/{name}/{i}", longer)
                 for i, w in enumerate(words.split()))
-        return self._spell(name, ALPHABETS, tweak)
+        return self._spell(name + "0" * longer, ALPHABETS, tweak)
 
-    def _given(self, word: str, gender: str, tweak: str) -> str:
+    def _given(self, word: str, gender: str, tweak: str, longer: int = 0) -> str:
         script = ("cyrillic" if re.search("[а-яё]", word.lower()) else
                   "greek" if re.search("[α-ω]", word.lower()) else "latin")
         syllables, endings = _NAMES[script]
-        number = self._number(tweak, 0, 64)
+        number = self._number(tweak, 0, 256)
         out = []
-        for _ in range(max(2, min(6, len(word) // 2))):
+        for _ in range(max(2, min(6, len(word) // 2)) + longer):
             number, pick = divmod(number, len(syllables))
             out.append(syllables[pick])
         ending = endings[gender][number % len(endings[gender])]
         return ("".join(out) + ending).capitalize()
 
 
+def _digit_like(said: str, digit: str) -> str:
+    """``digit`` in the script of the digit ``said``."""
+    if said.isascii() or not said.isdecimal():
+        return digit
+    return chr(ord(said) - unicodedata.decimal(said) + int(digit))
+
+
 def render(kind: str, mention: str, surrogate: str) -> str:
     """The surrogate in the layout of one mention."""
     if kind == "person":
@@ -222,11 +244,13 @@ def render(kind: str, mention: str, surrogate: str) -> str:
     if kind == "email" and mention != mention.lower():
         if mention == mention.upper():
             return surrogate.upper()
-        return "".join(s.upper() if m.isupper() else s
-                       for m, s in zip(mention, surrogate, strict=True))
+        return "@".join("".join(s.upper() if m.isupper() else s for m, s in zip_longest(
+            said, part, fillvalue="")) for said, part in zip(
+                mention.split("@"), surrogate.split("@"), strict=True))
     symbols: Iterator[str] = iter(c for c in surrogate if c.isalnum())
     if kind in ("card", "phone", "national_id", "iban"):
-        return "".join(next(symbols) if c.isalnum() else c for c in mention)
+        told = "".join(_digit_like(c, next(symbols)) if c.isalnum() else c for c in mention)
+        return told + "".join(symbols)
     return surrogate
 
 
@@ -255,9 +279,10 @@ def assign(names: DataFrame, key: bytes = KEY,
     """``kind, name, attempt, surrogate`` for distinct ``kind, name``, without collisions.
 
     A surrogate must differ from every other surrogate and from every name that occurs in the
-    corpus, else two people would merge. All entities in conflict but the first try again; their
-    number falls with each round, as a new attempt collides no more often than the first. Each
-    round is a table in the shared folder, and only rows in conflict are generated again.
+    corpus, else two people would merge. All entities in conflict but the first try again, after
+    ``SAME_LENGTH_ATTEMPTS`` with longer surrogates: so names settle even where there are more of
+    them than names of their shape. Each round is a table in the shared folder, and only rows in
+    conflict are generated again.
     """
     generate = generate or _generator(key).surrogate
 

@@ -118,3 +118,35 @@ def test_planted_strings_go_in_any_case(spark, text, planted):
     before, after = text.split(planted)
     assert told.text.startswith(before) and told.text.endswith(after)
     assert told.text.isupper() == text.isupper()
+
+
+def test_blank_fields_are_no_secrets(spark):
+    text = "password: ________ token: -------- secret=/+/+/+/+/+"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [tuple(r) for r in pseudonymised(df).collect()] == [(1, text, 0)]
+
+
+def test_more_names_than_their_shape_has_surrogates(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = ([("phone", f"+1{i:04d}") for i in range(8000)]
+             + [("secret", "-------" + c) for c in letters]
+             + [("email", f"{a}@{b}.org") for a in letters[:20] for b in letters])
+    rows = assign(spark.createDataFrame(names, "kind string, name string")).collect()
+    told = {(r.kind, r.surrogate) for r in rows}
+    assert len(told) == len(rows) == len(names) and not told & set(names)
+    for r in rows[::100]:
+        said = render(r.kind, r.name, r.surrogate)
+        assert said == r.surrogate and (r.kind == "secret" or [
+            e.kind for e in find(f"x {said} y")] == [r.kind])
+
+
+def test_digits_of_other_scripts_are_replaced(spark):
+    text = "٤٤٢٠٧٩٤٦٠٩٥٨ +٤٤ ٢٠ ٧٩٤٦ ٠٩٥٨"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    told = pseudonymised(df).first()
+    assert told.n_entities == 1 and told.text != text and told.text.split()[0] == text.split()[0]
+    assert re.fullmatch(r"\+[٠-٩]{2} [٠-٩]{2} [٠-٩]{4} [٠-٩]{4}", told.text.partition(" ")[2])
+
+
+def test_longer_email_in_mixed_case():
+    assert render("email", "Ab@Cd.org", "xyz@uv.org") == "Xyz@Uv.org"
