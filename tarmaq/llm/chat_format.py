@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmaq.llm.common import arrow_map, stored, table
@@ -16,8 +16,8 @@ from tarmaq.llm.common import arrow_map, stored, table
 START, END = "<|im_start|>", "<|im_end|>"
 #: The role whose texts are learnt from.
 LEARNT_ROLE = "assistant"
-#: A tree holds at most about this many different conversations; larger ones split below the
-#: turns that all of them share.
+#: A task lays out trees of at most this many different conversations; turns that more of them
+#: share are rows of their own, to which the trees below refer.
 TREE_CONVERSATIONS = 64
 #: A turn that no row opens: what a tree's first turns hang from.
 _ROOT = "root"
@@ -78,15 +78,16 @@ def prefix_trees(conversations: DataFrame, id_column: str = "conv_id",
     conversation.
 
     Conversations that share initial turns share their nodes, and equal conversations all. A node
-    is one turn: ``tree, path, place, formatted, start, end, position, ancestors, learnt_start,
-    learnt_end``. A tree's nodes stand depth first, each once: ``start`` and ``end`` are its
-    interval there in code points, ``position`` is the position id of its first one, counted along
-    its own conversation, and ``ancestors`` are the intervals it may attend to besides itself.
-    ``learnt_start`` and ``learnt_end`` bound the text under the loss mask (null for others).
+    is one turn and stands once: ``layout, tree, path, place, formatted, start, end, position,
+    ancestors, learnt_start, learnt_end``. A layout is all that begins with the same turn, its nodes
+    depth first: ``start`` and ``end`` are a node's interval there in code points, ``position`` is
+    the position id of its first one, counted along its own conversation, and ``ancestors`` are the
+    intervals it may attend to besides itself. ``learnt_start`` and ``learnt_end`` bound the text
+    under the loss mask (null for others).
 
-    A tree is the set of conversations below the first node that at most ``most`` different ones
-    pass; the turns above it open the tree as its trunk. So a first turn that a third of all
-    conversations share does not make one tree, and a task lays out one tree at a time.
+    A tree is what a task lays out at a time: the conversations below the first node that at most
+    ``most`` different ones pass. Each node above, the trunk, is a tree of its own, and the trees
+    below refer to it by its interval.
 
     Null roles and texts are empty, null ids are one conversation; rows are ordered by turn, role
     and text and may repeat; other columns are ignored.
@@ -107,18 +108,86 @@ def prefix_trees(conversations: DataFrame, id_column: str = "conv_id",
                   "conversations")
     width = stored(kept.groupBy("path").agg(F.count("*").alias("width")), "widths")
     here = F.struct("place", "path")
-    roots = stored(kept.join(width, "path").groupBy("leaf").agg(F.coalesce(
-        F.min(F.when(F.col("width") <= most, here)), F.max(here)).alias("root")).select(
-        "leaf", F.col("root.path").alias("tree")), "roots")
-    nodes = kept.join(roots, "leaf").groupBy("tree").applyInPandas(_lay_out, (
-        "tree string, path string, place int, formatted string, start bigint, end bigint, "
-        "position bigint, ancestors array<struct<start:bigint,end:bigint>>, "
+    wide = stored(kept.select("leaf", "place", "path").join(width, "path"), "wide")
+    # Widths fall along a conversation: its trunk comes first, then the root of its tree.
+    roots = stored(wide.groupBy("leaf").agg(
+        F.min(F.when(F.col("width") <= most, here)).alias("root"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("width") > most, here))),
+                    lambda t: t["path"]).alias("trunk")).select(
+        "leaf", "trunk", F.col("root.path").alias("root"), F.coalesce(
+            F.col("root.path"), F.element_at("trunk", -1)).alias("tree"),
+        F.coalesce(F.get("trunk", F.lit(0)), F.col("root.path")).alias("layout")), "roots")
+    placed = kept.join(roots.select("leaf", "root", F.size("trunk").alias("above")), "leaf")
+    below = placed.where("place > above").select(
+        F.col("root").alias("tree"), "leaf", "place", "path", "role", "text")
+    # One conversation stands for all that pass a node of the trunk.
+    trunk = placed.where("place <= above").groupBy("path").agg(
+        F.min("leaf").alias("leaf"), F.first("place").alias("place"),
+        F.first("role").alias("role"), F.first("text").alias("text"))
+    trunk = stored(trunk.select(F.col("path").alias("tree"), "leaf", "place", "path", "role",
+                                "text"), "trunk")
+    sizes = below.groupBy("tree", "path").agg(F.first(_formatted_length()).alias("size")).groupBy(
+        "tree").agg(F.sum("size").alias("size"))
+    chains = roots.where("root IS NOT NULL").groupBy(F.col("root").alias("tree")).agg(
+        F.first("trunk").alias("above"))
+    small = chains.join(sizes, "tree").select("tree", "above", "size", F.lit(False).alias("trunk"))
+    large = trunk.join(roots.select("leaf", F.col("trunk").alias("chain")), "leaf").select(
+        "tree", F.expr("slice(chain, 1, place - 1)").alias("above"),
+        _formatted_length().alias("size"), F.lit(True).alias("trunk"))
+    items = stored(depth_first(small.unionByName(large)), "items")
+    ends = items.where("trunk").select(F.col("tree").alias("ancestor"), "start",
+                                       (F.col("start") + F.col("size")).alias("end"))
+    seen = items.select("tree", F.explode("above").alias("ancestor")).join(ends, "ancestor")
+    seen = seen.groupBy("tree").agg(F.array_sort(F.collect_list(F.struct("start", "end")))
+                                    .alias("seen"))
+    bases = items.select("tree", "layout", F.col("start").alias("base")).join(seen, "tree", "left")
+    nodes = below.unionByName(trunk).join(bases, "tree").groupBy("tree").applyInPandas(_lay_out, (
+        "layout string, tree string, path string, place int, formatted string, start bigint, "
+        "end bigint, position bigint, ancestors array<struct<start:bigint,end:bigint>>, "
         "learnt_start bigint, learnt_end bigint"))
-    return nodes, members.join(roots, "leaf").select("conv", "leaf", "tree")
+    return nodes, members.join(roots.select("leaf", "tree", "layout"), "leaf").select(
+        "conv", "leaf", "tree", "layout")
+
+
+def _formatted_length() -> Column:
+    """The length of :func:`format_turn` of ``role`` and ``text``, without making it."""
+    def length(column: str, signs: tuple[str, ...]) -> Column:
+        size = F.length(column)
+        return sum((F.length(F.replace(F.col(column), F.lit(x), F.lit(x + "+"))) - size
+                    for x in signs), size)
+
+    return (length("role", ("\\", "<|", "\n")) + length("text", ("\\", "<|"))
+            + len(START) + len(END) + 2).cast("bigint")
+
+
+def depth_first(items: DataFrame) -> DataFrame:
+    """Add ``layout`` and ``start``, where each item begins in its layout, depth first.
+
+    ``items`` has ``tree``, ``above`` (the trunk's paths over it), ``size`` and ``trunk``. The order
+    is that of the paths down to an item, so a parent precedes all below it. Ranges of it are summed
+    one by one; only their totals meet, so a turn that many share makes no task large.
+    """
+    chain = F.concat_ws("/", "above", F.array("tree"))
+    ranged = stored(items.withColumn("chain", chain).repartitionByRange("chain").withColumn(
+        "range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("range").orderBy("chain")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    summed = ranged.withColumn("at", F.sum("size").over(upto) - F.col("size"))
+    summed = summed.withColumn("first", F.max(F.when(F.size("above") == 0, F.col("at"))).over(upto))
+    totals = summed.groupBy("range").agg(F.sum("size").alias("total"), F.max("first").alias("last"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    totals = totals.withColumn("opened", F.max(F.col("base") + F.col("last")).over(before))
+    begins = F.coalesce(F.col("base") + F.col("first"), F.col("opened"))
+    return summed.join(totals.select("range", "base", "opened"), "range").select(
+        "tree", "above", "size", "trunk",
+        F.coalesce(F.get("above", F.lit(0)), F.col("tree")).alias("layout"),
+        (F.col("base") + F.col("at") - begins).alias("start"))
 
 
 def _lay_out(rows: pd.DataFrame) -> pd.DataFrame:
-    """One tree, depth first; a child comes after its parent, children in the order of paths."""
+    """One tree, depth first, from its place in the layout on; a child comes after its parent,
+    children in the order of paths."""
     children: dict[str, set[str]] = {}
     turns: dict[str, tuple[int, str, str]] = {}
     for _, leaf in rows.sort_values("place").groupby("leaf", sort=True):
@@ -128,23 +197,25 @@ def _lay_out(rows: pd.DataFrame) -> pd.DataFrame:
             turns[path] = (place, role, text)
             children.setdefault(before, set()).add(path)
             before = path
-    out, at = [], 0
+    out, at = [], int(rows["base"].iloc[0])
+    given = rows["seen"].iloc[0]
+    seen = () if given is None else tuple((int(x["start"]), int(x["end"])) for x in given)
     todo: list[tuple[str, tuple[tuple[int, int], ...]]] = [
-        (p, ()) for p in sorted(children.get(_ROOT, ()), reverse=True)]
+        (p, seen) for p in sorted(children.get(_ROOT, ()), reverse=True)]
     while todo:
         path, ancestors = todo.pop()
         place, role, text = turns[path]
         formatted, start, end = format_turn(role, text)
         own = (at, at + len(formatted))
         learnt = role == LEARNT_ROLE
-        out.append((rows["tree"].iloc[0], path, place, formatted, *own,
+        out.append((rows["layout"].iloc[0], rows["tree"].iloc[0], path, place, formatted, *own,
                     sum(b - a for a, b in ancestors),
                     [{"start": a, "end": b} for a, b in ancestors],
                     at + start if learnt else None, at + end if learnt else None))
         at = own[1]
         todo += [(p, (*ancestors, own)) for p in sorted(children.get(path, ()), reverse=True)]
     frame = pd.DataFrame(out, columns=[
-        "tree", "path", "place", "formatted", "start", "end", "position", "ancestors",
+        "layout", "tree", "path", "place", "formatted", "start", "end", "position", "ancestors",
         "learnt_start", "learnt_end"])
     return frame.astype({"learnt_start": "Int64", "learnt_end": "Int64"})
 
@@ -156,22 +227,22 @@ def read_back(nodes: DataFrame, members: DataFrame) -> DataFrame:
     ``learnt`` are the texts under the loss mask there, unescaped.
     """
     ends = members.join(nodes.select(
-        "tree", F.col("path").alias("leaf"), F.concat("ancestors", F.array(F.struct(
-            "start", "end"))).alias("seen")), ["tree", "leaf"])
-    asked = ends.select("tree", "leaf", F.explode(F.col("seen.start")).alias("start")).distinct()
-    parts = asked.join(nodes.select("tree", "start", "formatted", "learnt_start", "learnt_end"),
-                       ["tree", "start"])
-    texts = parts.groupBy("tree", "leaf").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("path").alias("leaf"), F.concat("ancestors", F.array(F.struct(
+            "start", "end"))).alias("seen")), "leaf")
+    asked = ends.select("layout", "leaf", F.explode(F.col("seen.start")).alias("start")).distinct()
+    parts = asked.join(nodes.select("layout", "start", "formatted", "learnt_start", "learnt_end"),
+                       ["layout", "start"])
+    texts = parts.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct(
         "start", "formatted", F.expr(
             "CASE WHEN learnt_start IS NOT NULL THEN substring(formatted, "
             "CAST(learnt_start - start AS INT) + 1, CAST(learnt_end - learnt_start AS INT)) END")
         .alias("learnt")))).alias("parts"))
     whole = texts.select(
-        "tree", "leaf", F.array_join(F.transform("parts", lambda p: p["formatted"]), "")
+        "leaf", F.array_join(F.transform("parts", lambda p: p["formatted"]), "")
         .alias("formatted"),
         F.transform(F.filter("parts", lambda p: p["learnt"].isNotNull()),
                     lambda p: p["learnt"]).alias("learnt"))
-    return ends.select("conv", "tree", "leaf").join(whole, ["tree", "leaf"]).select(
+    return ends.select("conv", "leaf").join(whole, "leaf").select(
         "conv", "formatted", "learnt")
 
 

@@ -105,3 +105,30 @@ def test_query(spark):
         learnt = "".join(b for a, b in told if a == "assistant")
         assert found[conv].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
         assert found[conv].loss_sha256 == hashlib.sha256(learnt.encode()).hexdigest()
+
+
+def test_shared_turns_stand_once_above_the_cap(spark):
+    rows = [(c, t, "assistant" if t else "system", ["sa\\<|me\n", f"g{c % 3}", "x\\n", f"{c}"][t],
+             None) for c in range(300) for t in range(4)]
+    rows += [(1000, 0, "system", "sa\\<|me\n", None)]  # ends within the trunk
+    rows += [(2000 + c, t, "a\nb", ["other", f"{c}"][t], None) for c in range(20) for t in range(2)]
+    nodes, members = prefix_trees(spark.createDataFrame(rows, SCHEMA), most=8)
+    found = nodes.collect()
+    assert len(found) == len({n.path for n in found}) == 1 + 3 + 3 + 300 + 1 + 20
+    layouts: dict = {}
+    for n in found:
+        layouts.setdefault(n.layout, []).append(n)
+    assert sorted(map(len, layouts.values())) == [21, 307]
+    for layout in layouts.values():
+        at, above = 0, []
+        for n in sorted(layout, key=lambda n: n.start):
+            assert n.start == at and n.end == at + len(n.formatted)
+            above = [*above[: n.place - 1], (n.start, n.end)]  # depth first
+            assert [(a.start, a.end) for a in n.ancestors] == above[:-1]
+            assert n.position == sum(b - a for a, b in above[:-1])
+            at = n.end
+    told = {r.conv: r.formatted for r in read_back(nodes, members).collect()}
+    want: dict = {}
+    for conv, _, role, text, _ in rows:
+        want[conv] = want.get(conv, "") + format_turn(role, text)[0]
+    assert told == want
