@@ -250,6 +250,8 @@ def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
 
     def rows(batch: pa.RecordBatch):
         pieces, frequent = known.value
+        if number not in _remembered:  # what earlier tables left in this worker goes
+            _remembered.clear()
         rare = _remembered.setdefault(number, {})
 
         texts, parts = batch[text_column], []
