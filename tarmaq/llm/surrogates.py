@@ -91,7 +91,7 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
-def _canonical(kind: str, text: str, gender: str) -> str | None:
+def _canonical(kind: str, text: str) -> str | None:
     if kind in ("card", "phone", "national_id", "iban", "ipv4"):  # in ASCII digits
         text = "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
     if kind == "card":
@@ -103,8 +103,6 @@ def _canonical(kind: str, text: str, gender: str) -> str | None:
         return text.lower()
     if kind == "iban":
         return text.replace(" ", "")
-    if kind == "person":
-        return f"{gender}:{' '.join(w.title() if w.isupper() else w for w in text.split())}"
     return text
 
 
@@ -114,21 +112,73 @@ def find(text: str | None) -> list[Entity]:
         return []
     found: list[Entity] = []
     taken: list[tuple[int, int]] = []
+    titled: list[tuple[int, int, str]] = []
     for kind, pattern in _ALL:
         for match in pattern.finditer(text):
             start, end = match.span("e")
             if any(a < end and start < b for a, b in taken):
                 continue
-            title = match.group(0)[: start - match.start()].strip(" .\t\n")
-            gender = ("female" if re.fullmatch(_FEMALE, title, re.I) else
-                      "male" if re.fullmatch(_MALE, title, re.I) else "")
-            name = _canonical(kind, match.group("e"), gender)
+            if kind == "person":
+                title = match.group(0)[: start - match.start()].strip(" .\t\n")
+                gender = ("female" if re.fullmatch(_FEMALE, title, re.I) else
+                          "male" if re.fullmatch(_MALE, title, re.I) else "")
+                end -= 2 if re.search("['’][sS]$", match.group("e")) else 0
+                titled.append((start, end, gender))
+                taken.append((start, end))
+                continue
+            name = _canonical(kind, match.group("e"))
             if name is not None:
                 found.append(Entity(start, end, kind, name))
                 taken.append((start, end))
+    if titled:
+        found += _people(text, titled, taken)
     return sorted(found, key=lambda e: e.start)
 
 
+def _people(text: str, titled: list[tuple[int, int, str]],
+            taken: list[tuple[int, int]]) -> list[Entity]:
+    """The titled names of a text, and where their words stand again without a title.
+
+    A name is a list of words with their parts, ``male:paul surname:gray``, so that mentions agree
+    in the words they share. A given name has the gender of any title that its person has here.
+    """
+    told = [(tuple(text[a:b].lower().split()), gender) for a, b, gender in titled]
+    given = {w for words, _ in told for w in words[:-1]}
+    last = {words[-1] for words, _ in told if len(words) > 1}
+    surnames = last | {words[0] for words, _ in told if len(words) == 1} - given
+
+    def gender_of(words: tuple[str, ...], surname: bool) -> str:
+        ways = ([{g for w, g in told if g and len(w) > 1 and (w[0], w[-1]) == (words[0], words[-1])},
+                 {g for w, g in told if g and w == words[-1:]}] if surname else
+                [{g for w, g in told if g and words[0] in (w[:-1] or w)}])
+        known: set[str] = next((x for x in ways if x), set())
+        return min(known) if len(known) == 1 else "given"
+
+    def name(words: tuple[str, ...], gender: str) -> str:
+        surname = words[-1] in surnames
+        first = gender or gender_of(words, surname)
+        return " ".join([f"{first}:{w}" for w in words[: len(words) - surname]]
+                        + [f"surname:{w}" for w in words[len(words) - surname :]])
+
+    out = [Entity(a, b, "person", name(words, gender))
+           for (a, b, gender), (words, _) in zip(titled, told, strict=True)]
+    forms = {f for a, b, _ in titled for w in text[a:b].split()
+             if not re.fullmatch(_NO_NAME, w.upper())
+             for f in (w, w.upper(), w.title())}
+    if forms:
+        word = f"(?:{'|'.join(map(re.escape, sorted(forms, reverse=True)))})(?!\\w|[-’']\\w\\w)"
+        for match in re.finditer(rf"(?<![\w'’-]){word}(?:\s{word}){{0,2}}", text):
+            a, b = match.span()
+            if not any(x < b and a < y for x, y in taken):
+                out.append(Entity(a, b, "person", name(tuple(match[0].lower().split()), "")))
+    return out
+
+
+def parts(kind: str, name: str) -> list[str]:
+    """What has a surrogate of its own in a name: each word of a person's."""
+    return name.split() if kind == "person" else [name]
+
+
 class Generator:
     """Keyed surrogates of canonical names.
 
@@ -207,10 +257,9 @@ class Generator:
             local += "a" * longer
             return f"{self._spell(local + '@' + hosts, ALPHABETS, tweak)}{dot}{top}"
         if kind == "person":
-            gender, _, words = name.partition(":")
-            return f"{gender}:" + " ".join(
-                self._given(w, gender if i == 0 else "", f"{tweak}/{name}/{i}", longer)
-                for i, w in enumerate(words.split()))
+            return " ".join(
+                f"{part}:{self._given(w, part, f'{tweak}/{part}:{w}', longer)}"
+                for part, _, w in (x.partition(":") for x in name.split()))
         return self._spell(name + "0" * longer, ALPHABETS, tweak)
 
     def _given(self, word: str, gender: str, tweak: str, longer: int = 0) -> str:
@@ -222,8 +271,8 @@ class Generator:
         for _ in range(max(2, min(6, len(word) // 2)) + longer):
             number, pick = divmod(number, len(syllables))
             out.append(syllables[pick])
-        ending = endings[gender][number % len(endings[gender])]
-        return ("".join(out) + ending).capitalize()
+        kind = endings.get(gender, endings[""])
+        return "".join(out) + kind[number % len(kind)]
 
 
 def _digit_like(said: str, digit: str) -> str:
@@ -236,9 +285,8 @@ def _digit_like(said: str, digit: str) -> str:
 def render(kind: str, mention: str, surrogate: str) -> str:
     """The surrogate in the layout of one mention."""
     if kind == "person":
-        words = surrogate.partition(":")[2].split()
-        words = [w.upper() if m.isupper() else w
-                 for m, w in zip(mention.split(), words, strict=True)]
+        words = [w.upper() if m.isupper() else w.capitalize() for m, w in zip(
+            mention.split(), (x.partition(":")[2] for x in surrogate.split()), strict=True)]
         gaps = re.findall(r"\s+", mention)
         return words[0] + "".join(g + w for g, w in zip(gaps, words[1:], strict=False))
     if kind == "email" and mention != mention.lower():
@@ -260,12 +308,13 @@ def _generator(key: bytes) -> Generator:
 
 
 def entities(texts: DataFrame) -> DataFrame:
-    """``key, kind, name`` for each entity of each ``key, text``, once per text."""
+    """``key, kind, name`` for each entity of each ``key, text``, once per text; of a person's name
+    for each word."""
 
     def rows(batch: pa.RecordBatch):
         out: dict[str, list] = {"key": [], "kind": [], "name": []}
         for key, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            for kind, name in sorted({(e.kind, e.name) for e in find(text)}):
+            for kind, name in sorted({(e.kind, n) for e in find(text) for n in parts(e.kind, e.name)}):
                 out["key"].append(key)
                 out["kind"].append(kind)
                 out["name"].append(name)
@@ -281,7 +330,8 @@ def assign(names: DataFrame, key: bytes = KEY,
     A surrogate must differ from every other surrogate and from every name that occurs in the
     corpus, else two people would merge. All entities in conflict but the first try again, after
     ``SAME_LENGTH_ATTEMPTS`` with longer surrogates: so names settle even where there are more of
-    them than names of their shape. Each round is a table in the shared folder, and only rows in
+    them than names of their shape. Words of a person's name are compared without their part, before
+    the colon. Each round is a table in the shared folder, and only rows in
     conflict are generated again.
     """
     generate = generate or _generator(key).surrogate
@@ -295,12 +345,13 @@ def assign(names: DataFrame, key: bytes = KEY,
     names = stored(names.select("kind", "name").distinct(), "names")
     current = stored(arrow_map(names.withColumn("attempt", F.lit(0)), rows, schema), "surrogates")
     while True:
-        firsts = current.groupBy("kind", "surrogate").agg(
+        bare = current.withColumn("bare", F.substring_index("surrogate", ":", -1))
+        firsts = bare.groupBy("kind", "bare").agg(
             F.count("*").alias("sharing"), F.min(F.struct("attempt", "name")).alias("first"))
-        shared = current.join(firsts.where("sharing > 1"), ["kind", "surrogate"]).where(
+        shared = bare.join(firsts.where("sharing > 1"), ["kind", "bare"]).where(
             F.struct("attempt", "name") != F.col("first")).select("kind", "name")
-        real = current.join(names.select("kind", F.col("name").alias("surrogate")),
-                            ["kind", "surrogate"], "left_semi").select("kind", "name")
+        real = bare.join(names.select("kind", F.substring_index("name", ":", -1).alias("bare")),
+                         ["kind", "bare"], "left_semi").select("kind", "name")
         conflicts = stored(shared.union(real).distinct(), "conflicts")
         if conflicts.isEmpty():
             return current
@@ -338,12 +389,13 @@ def pseudonymised(documents: DataFrame, id_column: str = "doc_id", text_column:
                 counts.append(0)
                 continue
             known = {(w["kind"], w["name"]): w["surrogate"] for w in wanted}
-            parts, at, count = [], 0, 0
+            out, at, count = [], 0, 0
             for e in find(text):
-                parts += [text[at : e.start],
-                          render(e.kind, text[e.start : e.end], known[e.kind, e.name])]
+                out += [text[at : e.start],
+                          render(e.kind, text[e.start : e.end], " ".join(
+                              known[e.kind, n] for n in parts(e.kind, e.name)))]
                 at, count = e.end, count + 1
-            texts.append("".join([*parts, text[at:]]))
+            texts.append("".join([*out, text[at:]]))
             counts.append(count)
         yield {"document": batch["document"], "text": texts, "n_entities": counts}
 

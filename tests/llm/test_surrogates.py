@@ -150,3 +150,18 @@ def test_digits_of_other_scripts_are_replaced(spark):
 
 def test_longer_email_in_mixed_case():
     assert render("email", "Ab@Cd.org", "xyz@uv.org") == "Xyz@Uv.org"
+
+
+def test_mentions_of_a_person_agree(spark):
+    texts = ["Mr Paul Gray, Dr Paul Gray, Mr Gray's dog, DR. GRAY, then Paul Gray, GRAY and Paul.",
+             "Mrs Anna Gray and Dr Paul Gray; Greyhounds, Grayson", "Paul Gray has no title here"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    told = {r.doc_id: r for r in pseudonymised(df).collect()}
+    assert told[0].n_entities == 7 and told[1].n_entities == 2 and told[2].text == texts[2]
+    _, paul, gray = told[0].text.split(",")[0].split()
+    assert told[0].text == texts[0].replace("Paul", paul).replace("Gray", gray).replace(
+        "GRAY", gray.upper()) and not {paul, gray} & {"Paul", "Gray"}
+    assert re.search(r"(n|rd|s)$", paul)
+    anna, hers = told[1].text.split()[1:3]
+    assert hers == gray and anna.endswith("a") and told[1].text.endswith("; Greyhounds, Grayson")
+    assert f" {gray};" in told[1].text
