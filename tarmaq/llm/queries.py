@@ -10,6 +10,7 @@ from tarmaq.llm.source_mix import OP2_SQL, op2_source_mix
 from tarmaq.llm.substring_dedup import op1_substring_dedup
 from tarmaq.llm.suffix_dedup import op8_suffix_array_dedup
 from tarmaq.llm.surrogates import op10_pii_surrogates
+from tarmaq.llm.token_records import op13_token_records
 from tarmaq.llm.warc import op6_warc
 from tarmaq.llm.winnowing import op4_winnowing
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op13_token_records": op13_token_records,
 }
 
 ORACLE_SQL: dict[str, str] = {
