@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tarmaq.llm.chat_format import op5_chat_format
+from tarmaq.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from tarmaq.llm.jaccard_join import op3_ngram_jaccard
 from tarmaq.llm.quality_rules import OP7_SQL, op7_quality_rules
 from tarmaq.llm.sentence_pieces import op9_sentence_pieces
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_token_records": op13_token_records,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_source_mix": OP2_SQL,
     "op7_quality_rules": OP7_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }
