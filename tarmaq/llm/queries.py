@@ -12,6 +12,7 @@ from tarmaq.llm.substring_dedup import op1_substring_dedup
 from tarmaq.llm.suffix_dedup import op8_suffix_array_dedup
 from tarmaq.llm.surrogates import op10_pii_surrogates
 from tarmaq.llm.token_records import op13_token_records
+from tarmaq.llm.turn_repair import op12_turn_repair
 from tarmaq.llm.warc import op6_warc
 from tarmaq.llm.winnowing import op4_winnowing
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_pii_surrogates": op10_pii_surrogates,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_turn_repair": op12_turn_repair,
     "op13_token_records": op13_token_records,
 }
 
