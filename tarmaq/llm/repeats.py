@@ -12,8 +12,9 @@ hash of all symbols the run covers (its context), the document and the place. Th
   starting again with longer seeds, in the end with the window itself as the key. Only these
   slices of the texts are kept for that.
 
-No step pairs occurrences or gathers the occurrences of one seed or context: counts are combined
-before each shuffle and come back by equi-joins, whose hot keys Spark splits.
+No step gathers the occurrences of one seed or context, only its different contexts where these
+are few: counts are combined before each shuffle and come back by equi-joins, whose hot keys Spark
+splits. What is used twice is a table, so each text is hashed once.
 """
 
 from __future__ import annotations
@@ -150,16 +151,17 @@ def _judge(found: DataFrame, label: str) -> DataFrame:
     What the runs are joined with is a table, not an aggregate: then both sides of the join come
     straight from a shuffle, and Spark can split a seed or context with very many runs.
     """
+    found = stored(found, f"{label}-runs")
     frequent = found.groupBy("seed").agg(F.sum("weight").alias("total")).where("total > 1")
     hits = stored(found.join(stored(frequent.select("seed"), f"{label}-frequent"), "seed"),
                   f"{label}-hits")
-    contexts = hits.groupBy("seed", "context").agg(
-        F.sum("weight").alias("total"), F.min("key").alias("owner"))
-    widths = stored(contexts.groupBy("seed").agg(F.count("*").alias("width")).where("width > 1"),
-                    f"{label}-widths")
+    counted = stored(hits.groupBy("seed", "context").agg(
+        F.sum("weight").alias("total"), F.min("key").alias("owner")), f"{label}-counted")
+    widths = (counted.groupBy("seed").agg(F.count("*").alias("width")).where("width > 1"))
+    contexts = stored(counted.join(widths, "seed", "left"), f"{label}-contexts")
     first = (F.col("total") == 1) | (F.col("key") == F.col("owner"))
     return stored(
-        hits.join(contexts.join(widths, "seed", "left"), ["seed", "context"]).select(
+        hits.join(contexts, ["seed", "context"]).select(
             *[c for c in hits.columns if c != "context"], (F.col("total") > 1).alias("settled"),
             (F.col("width").isNotNull() & first).alias("open"), "width"),
         f"{label}-judged")
@@ -201,10 +203,11 @@ def repeated_windows(documents: DataFrame, texts: DataFrame, units: Units, windo
         if slices.isEmpty():
             break
     else:
-        found = arrow_map(slices, _slice_windows(units, window), RUNS)
+        found = stored(arrow_map(slices, _slice_windows(units, window), RUNS), "windows")
         counts = found.groupBy("seed", "context").agg(F.sum("weight").alias("total"))
-        spans.append(found.where("weight = 1").join(
-            counts.where("total > 1"), ["seed", "context"]).select("key", "place"))
+        repeated = stored(counts.where("total > 1"), "windows-repeated")
+        spans.append(found.where("weight = 1").join(repeated, ["seed", "context"]).select(
+            "key", "place"))
     return reduce(DataFrame.unionByName, spans)
 
 

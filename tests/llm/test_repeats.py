@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter
 
 import numpy as np
 import pytest
 
+from tarmaq.llm.queries import QUERIES
 from tarmaq.llm.substring_dedup import repeated_passages, without_passages
 from tarmaq.llm.suffix_dedup import RunLengthIndex, repeated_strings, without_strings
 
@@ -38,12 +40,14 @@ def corpus(seed, words):
     return [*texts, *texts[:5], "", None, " \t\n", "a " * 100, "é" * 90, "x y " * 40]
 
 
+@pytest.mark.parametrize("extended", [0, 2, 64])
 @pytest.mark.parametrize("words", [3, 400])
-def test_passages(spark, words):
+def test_passages(spark, words, extended):
     texts = corpus(1, words)
     rows = [(i, t, "extra") for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(5)
-    found = without_passages(repeated_passages(df, window=12, anchor=5), 12).collect()
+    found = without_passages(repeated_passages(
+        df, window=12, anchor=5, extended=extended), 12).collect()
     want = kept_symbols([(t or "").encode().split() for t in texts], 12)
     assert len(found) == len(rows)
     for row in found:
@@ -101,3 +105,35 @@ def test_index_gives_longest_matches():
         return best
 
     assert index.matching_statistics().tolist() == [longest(i) for i in range(len(text))]
+
+
+def test_registered_queries(spark, tmp_path):
+    """Both queries with their own windows, 35 words and 400 bytes, over a table of documents."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(500)]
+    passages = [[rng.choice(words) for _ in range(rng.randint(30, 130))] for _ in range(15)]
+    texts = [None, "", "one two"]
+    for i in range(90):
+        parts = [rng.choice(words) for _ in range(rng.randint(0, 60))]
+        for _ in range(rng.randint(0, 3)):
+            passage = rng.choice(passages)
+            cut = rng.randint(0, 40)
+            parts += passage[cut : cut + rng.randint(20, 120)]
+            parts += [rng.choice(words) for _ in range(rng.randint(0, 9))]
+        texts.append("\t".join(parts) if i % 5 == 0 else " ".join(parts))
+    texts += texts[10:13]
+    rows = [(i, t, "en", "web", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
+                          "n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    by_words = kept_symbols([(t or "").encode().split() for t in texts], 35)
+    for row in QUERIES["op1_substring_dedup"](spark, str(tmp_path)).collect():
+        kept = by_words[row.doc_id]
+        assert row.n_words == len((texts[row.doc_id] or "").encode().split())
+        assert row.n_removed == row.n_words - len(kept)
+        assert row.kept_sha256 == hashlib.sha256(b" ".join(kept)).hexdigest()
+    by_bytes = kept_symbols([(t or "").encode() for t in texts], 400)
+    for row in QUERIES["op8_suffix_array_dedup"](spark, str(tmp_path)).collect():
+        kept = by_bytes[row.doc_id]
+        assert row.n_bytes == len((texts[row.doc_id] or "").encode())
+        assert row.n_removed == row.n_bytes - len(kept)
+        assert row.kept_sha256 == hashlib.sha256(bytes(kept)).hexdigest()
