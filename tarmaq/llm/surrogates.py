@@ -6,6 +6,7 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -91,6 +92,12 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def iban_check(name: str) -> str:
+    """The check digits that an account number with its country has to carry."""
+    number = int("".join(str(int(c, 36)) for c in name[4:] + name[:2] + "00"))
+    return f"{98 - number % 97:02d}"
+
+
 def _canonical(kind: str, text: str) -> str | None:
     if kind in ("card", "phone", "national_id", "iban", "ipv4"):  # in ASCII digits
         text = "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
@@ -111,12 +118,12 @@ def find(text: str | None) -> list[Entity]:
     if not text or not _MAYBE.search(text):
         return []
     found: list[Entity] = []
-    taken: list[tuple[int, int]] = []
+    taken = bytearray(len(text))  # a mark for each character of an entity
     titled: list[tuple[int, int, str]] = []
     for kind, pattern in _ALL:
         for match in pattern.finditer(text):
             start, end = match.span("e")
-            if any(a < end and start < b for a, b in taken):
+            if taken.find(1, start, end) >= 0:
                 continue
             if kind == "person":
                 title = match.group(0)[: start - match.start()].strip(" .\t\n")
@@ -124,19 +131,19 @@ def find(text: str | None) -> list[Entity]:
                           "male" if re.fullmatch(_MALE, title, re.I) else "")
                 end -= 2 if re.search("['’][sS]$", match.group("e")) else 0
                 titled.append((start, end, gender))
-                taken.append((start, end))
+                taken[start:end] = b"\1" * (end - start)
                 continue
             name = _canonical(kind, match.group("e"))
             if name is not None:
                 found.append(Entity(start, end, kind, name))
-                taken.append((start, end))
+                taken[start:end] = b"\1" * (end - start)
     if titled:
         found += _people(text, titled, taken)
     return sorted(found, key=lambda e: e.start)
 
 
 def _people(text: str, titled: list[tuple[int, int, str]],
-            taken: list[tuple[int, int]]) -> list[Entity]:
+            taken: bytearray) -> list[Entity]:
     """The titled names of a text, and where their words stand again without a title.
 
     A name is a list of words with their parts, ``male:paul surname:gray``, so that mentions agree
@@ -147,11 +154,19 @@ def _people(text: str, titled: list[tuple[int, int, str]],
     last = {words[-1] for words, _ in told if len(words) > 1}
     surnames = last | {words[0] for words, _ in told if len(words) == 1} - given
 
+    whole, alone, any_given = defaultdict(set), defaultdict(set), defaultdict(set)
+    for words, gender in set(told):
+        if gender:
+            if len(words) > 1:
+                whole[words[0], words[-1]].add(gender)
+            alone[words].add(gender)
+            for word in words[:-1] or words:
+                any_given[word].add(gender)
+
     def gender_of(words: tuple[str, ...], surname: bool) -> str:
-        ways = ([{g for w, g in told if g and len(w) > 1 and (w[0], w[-1]) == (words[0], words[-1])},
-                 {g for w, g in told if g and w == words[-1:]}] if surname else
-                [{g for w, g in told if g and words[0] in (w[:-1] or w)}])
-        known: set[str] = next((x for x in ways if x), set())
+        ways = ([whole.get((words[0], words[-1])), alone.get(words[-1:])] if surname
+                else [any_given.get(words[0])])
+        known = next((x for x in ways if x), set())
         return min(known) if len(known) == 1 else "given"
 
     def name(words: tuple[str, ...], gender: str) -> str:
@@ -169,7 +184,7 @@ def _people(text: str, titled: list[tuple[int, int, str]],
         word = f"(?:{'|'.join(map(re.escape, sorted(forms, reverse=True)))})(?!\\w|[-’']\\w\\w)"
         for match in re.finditer(rf"(?<![\w'’-]){word}(?:\s{word}){{0,2}}", text):
             a, b = match.span()
-            if not any(x < b and a < y for x, y in taken):
+            if taken.find(1, a, b) < 0:
                 out.append(Entity(a, b, "person", name(tuple(match[0].lower().split()), "")))
     return out
 
@@ -228,7 +243,8 @@ class Generator:
         """Another canonical name of the same kind and format.
 
         Later attempts give longer ones: names of one shape still never share one, and as the length
-        doubles with each attempt, no earlier surrogate and no real name stays in the way.
+        doubles with each attempt, no earlier surrogate and no real name stays in the way. Addresses
+        keep their four numbers, of which there are 2^32.
         """
         tweak = f"{kind}/{attempt}"
         longer = (0 if attempt < SAME_LENGTH_ATTEMPTS
@@ -236,7 +252,7 @@ class Generator:
         if kind == "ipv4":
             octets = [int(x) for x in name.split(".")]
             number = self._permute(int.from_bytes(bytes(octets), "big"), 1 << 32, tweak)
-            return ".".join(map(str, [*number.to_bytes(4, "big"), *[0] * longer]))
+            return ".".join(map(str, number.to_bytes(4, "big")))  # there is no longer address
         if kind == "card":
             body = name[0] + self._spell(name[1:-1] + "0" * longer, ALPHABETS[:1], tweak)
             return body + luhn_digit(body)
@@ -250,6 +266,9 @@ class Generator:
         if kind == "secret" and re.fullmatch("[0-9A-F]+", name):
             return self._spell(name + "0" * longer, (_UPPER_HEX,), tweak)
         if kind == "iban":
+            if name[2:4] == iban_check(name):  # equal accounts have equal check digits
+                other = name[:2] + "00" + self._spell(name[4:] + "0" * longer, ALPHABETS[:3], tweak)
+                return other[:2] + iban_check(other) + other[4:]
             return name[:2] + self._spell(name[2:] + "0" * longer, ALPHABETS[:3], tweak)
         if kind == "email":
             local, _, domain = name.partition("@")

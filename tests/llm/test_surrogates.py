@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 
@@ -11,6 +12,7 @@ from tarmaq.llm.surrogates import (
     Generator,
     assign,
     find,
+    iban_check,
     luhn_digit,
     pseudonymised,
     render,
@@ -165,3 +167,30 @@ def test_mentions_of_a_person_agree(spark):
     anna, hers = told[1].text.split()[1:3]
     assert hers == gray and anna.endswith("a") and told[1].text.endswith("; Greyhounds, Grayson")
     assert f" {gray};" in told[1].text
+
+
+def test_bank_accounts_and_addresses_stay_valid():
+    generator = Generator(KEY)
+    names = ["DE89370400440532013000", "GB82WEST12345698765432", "FR1420041010050500013M02606"]
+    for name in names:
+        assert iban_check(name) == name[2:4]
+        for attempt in range(8):
+            other = generator.surrogate("iban", name, attempt)
+            assert other != name and other[:2] == name[:2] and iban_check(other) == other[2:4]
+    for attempt in range(12):
+        other = generator.surrogate("ipv4", "10.20.30.40", attempt)
+        assert len(other.split(".")) == 4 and all(0 <= int(x) < 256 for x in other.split("."))
+
+
+def test_long_logs_take_time_in_proportion():
+    def seconds(n):
+        text = "\n".join(f"10.{i >> 16}.{i >> 8 & 255}.{i & 255} GET /" for i in range(n))
+        text += "\n" + "\n".join(f"Mr. Aa{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} spoke"
+                                 for i in range(n // 10))
+        started = time.process_time()
+        found = find(text)
+        assert len(found) == n + n // 10
+        return time.process_time() - started
+
+    seconds(1000)
+    assert seconds(40_000) < 40 * max(seconds(4000), 0.02)
