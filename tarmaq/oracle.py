@@ -370,6 +370,8 @@ QUERIES = {
     "dim_airport": "SELECT * FROM airports",
     "distinct_airports": "SELECT count(DISTINCT icao_airport) AS airports FROM airports",
     "fact_flights": "SELECT * FROM fact",
+    "fact_by_arrivals": "SELECT * FROM fact",
+    "fact_after_month_refresh": "SELECT * FROM fact",
     "obt_flights": "SELECT * FROM obt",
     "row_chain": """
         SELECT step, rows_before, rows_after, rows_before - rows_after AS difference, target,
@@ -437,6 +439,34 @@ QUERIES = {
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
           CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment,
           CAST(c_custkey % 7 AS VARCHAR) AS from_file FROM customer""",
+    "rejected_lines": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+          CASE WHEN c_custkey % 10 = 5 THEN c_name || ';x'
+               WHEN c_custkey % 10 NOT IN (1, 2, 3, 4) THEN c_name END AS c_name,
+          CASE c_custkey % 10 WHEN 1 THEN 'too few fields' WHEN 2 THEN 'too many fields'
+               WHEN 3 THEN 'unbalanced quotes' WHEN 4 THEN 'unbalanced quotes' END AS reason,
+          CASE c_custkey % 10
+               WHEN 1 THEN concat_ws(';', c_custkey, c_name, c_nationkey)
+               WHEN 2 THEN concat_ws(';', c_custkey, c_name, c_nationkey, c_mktsegment, 'more')
+               WHEN 3 THEN concat_ws(';', c_custkey, '"' || c_name, c_nationkey, c_mktsegment)
+               WHEN 4 THEN concat_ws(';', c_custkey, c_name, c_nationkey, '"' || c_mktsegment)
+          END AS line
+        FROM customer""",
+    "registry_scan": """
+        SELECT nullif(icao, '') AS icao, iata_code, legal_name, service, city, state, status,
+          CASE registry_origin WHEN 'national' THEN 'pda_empresas_aereas_nacionais.csv'
+               ELSE 'pda_empresas_aereas_estrangeiros.csv' END AS _arquivo_origem
+        FROM airlines""",
+    "loads_of_new_files": """
+        SELECT CAST(load_id AS INT) AS load_id, CAST(files AS INT) AS files, rows FROM (
+          SELECT 1 AS load_id, count(DISTINCT c_custkey % 7) AS files, count(*) AS rows
+          FROM customer WHERE c_custkey % 7 < 5
+          UNION ALL SELECT 2, 0, 0
+          UNION ALL SELECT 3, count(DISTINCT c_custkey % 7), count(*)
+          FROM customer WHERE c_custkey % 7 >= 5)""",
+    "counts_from_footers": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}"
+        for name in ("customer", "orders", "lineitem", "documents", "events")),
     "latin1_round_trip": """
         SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(line) AS text_md5,
           CAST(length(line) AS INTEGER) AS chars

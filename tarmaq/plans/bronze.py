@@ -9,6 +9,7 @@ from tarmaq.plans import vocabulary as V
 from tarmaq.sources.delimited import (
     NO_QUOTES,
     read_delimited,
+    read_marked,
     renamed,
     require_headers,
     with_ingest_time,
@@ -29,6 +30,12 @@ def flights(spark: SparkSession, path: str) -> DataFrame:
     return with_ingest_time(with_source_file(rows))
 
 
+def marked_flights(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`flights` with the lines that are no rows, marked with their text and the reason."""
+    require_headers(spark, path, list(V.FLIGHT_COLUMNS))
+    return with_ingest_time(read_marked(spark, path, list(V.FLIGHT_COLUMNS), escape='"'))
+
+
 def aerodromes(spark: SparkSession, path: str) -> DataFrame:
     """Latin-1 registry in which a quotation mark is ordinary text."""
     require_headers(spark, path, list(V.AERODROME_COLUMNS), encoding="ISO-8859-1",

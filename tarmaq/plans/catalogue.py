@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +12,25 @@ from pyspark.sql import functions as F
 from tarmaq.functions.typing import decimal_comma
 from tarmaq.operators import audit, lookup, quality
 from tarmaq.operators.dedup import first_per_key, repeated_keys
-from tarmaq.plans import consumption, contract, gold, silver
+from tarmaq.plans import bronze, consumption, contract, gold, increment, silver
 from tarmaq.plans import vocabulary as V
 from tarmaq.plans.fixtures import Flights
 from tarmaq.session import shared_folder
+from tarmaq.sources.arrived import Load, load_new_files
 from tarmaq.sources.delimited import (
     NO_QUOTES,
+    REASON,
+    REJECTED_LINE,
     SOURCE_FILE,
+    accepted,
     read_delimited,
+    read_marked,
+    rejects,
     require_headers,
     write_delimited,
 )
+from tarmaq.sources.footers import footer_counts
+from tarmaq.sources.months import read_parts, replace_parts
 from tarmaq.sources.snapshots import load_history, read_snapshot, write_snapshot
 
 Query = Callable[[Flights], DataFrame]
@@ -71,13 +80,91 @@ def latin1_round_trip(f: Flights) -> DataFrame:
     flat = F.regexp_replace("text", r"[;\s]+", " ")
     spelt = F.trim(F.regexp_replace(flat, r"[^\x20-\x7E\xA1-\xFF]", "?"))
     quoted = F.concat(F.lit('"'), F.substring("lang", 1, 1), F.lit(" "), spelt)
-    f.table("documents").select("doc_id", quoted.alias("text")).write.csv(
-        path, sep=";", encoding="ISO-8859-1", quote=NO_QUOTES, escape=NO_QUOTES, header=True)
-    back = f.spark.read.csv(path, schema="doc_id string, text string", sep=";", header=True,
-                            encoding="ISO-8859-1", quote=NO_QUOTES)
+    write_delimited(f.table("documents").select("doc_id", quoted.alias("text")), path,
+                    F.col("doc_id") % 16, "preâmbulo", encoding="ISO-8859-1")
+    back = read_delimited(f.spark, f"{path}/file=*/*.txt", ["doc_id", "text"],
+                          encoding="ISO-8859-1", quote=NO_QUOTES)
     return back.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("chars"))
 
 
+@query
+def rejected_lines(f: Flights) -> DataFrame:
+    """Customers of whom some lines are short, long or badly quoted: what is a row, what not."""
+    path = f"{shared_folder(f.spark)}/tarmaq/damaged-{uuid4().hex}"
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    key, name, nation, segment = (F.col(c).cast("string") for c in columns)
+    quote, kind = F.lit('"'), F.col("c_custkey") % 10
+
+    def line(*parts):
+        return F.concat_ws(";", *parts)
+
+    damaged = (
+        F.when(kind == 1, line(key, name, nation))
+        .when(kind == 2, line(key, name, nation, segment, F.lit("more")))
+        .when(kind == 3, line(key, F.concat(quote, name), nation, segment))
+        .when(kind == 4, line(key, name, nation, F.concat(quote, segment)))
+        .when(kind == 5, line(key, F.concat(quote, name, F.lit(";x"), quote), nation, segment))
+        .otherwise(line(key, name, nation, segment)))
+    write_delimited(f.table("customer").select(*columns), path, F.col("c_custkey") % 7,
+                    "Atualizado em: 2025-08-01", line=damaged)
+    marked = read_marked(f.spark, f"{path}/file=*/*.txt", columns)
+    good, bad = accepted(marked), rejects(marked)
+    return good.select("c_custkey", "c_name", F.lit(None).cast("string").alias("reason"),
+                       F.lit(None).cast("string").alias("line")).unionByName(bad.select(
+        F.regexp_extract(REJECTED_LINE, r"^(\d+)", 1).alias("c_custkey"),
+        F.lit(None).cast("string").alias("c_name"), F.col(REASON).alias("reason"),
+        F.col(REJECTED_LINE).alias("line")))
+
+
+@query
+def registry_scan(f: Flights) -> DataFrame:
+    """Both company registries written as they are published, then scanned file by file."""
+    path = f"{shared_folder(f.spark)}/tarmaq/registries-{uuid4().hex}"
+    sides = {"national": f.national, "foreign": f.foreign}
+    scans = []
+    for file, (_, label) in bronze.COMPANY_FILES.items():
+        published = sides[label].select(*[
+            F.col(target).alias(source) for source, target in V.COMPANY_COLUMNS.items()])
+        write_delimited(published, f"{path}/{file}", F.lit(0), "Atualizado em: 2025-08-01")
+        scans.append(bronze.companies(f.spark, path, file))
+    return timeless(scans[0].unionByName(scans[1]))
+
+
+@query
+def loads_of_new_files(f: Flights) -> DataFrame:
+    """Three loads of one folder: five files, the same again, and two files more."""
+    path = f"{shared_folder(f.spark)}/tarmaq/arrived-{uuid4().hex}"
+    columns = ["c_custkey", "c_name"]
+    file = F.col("c_custkey") % 7
+
+    def deliver(part: str, chosen) -> None:
+        write_delimited(f.table("customer").where(chosen).select(*columns), f"{path}/in/{part}",
+                        file, "Atualizado em: 2025-08-01")
+
+    def load(number: int) -> Load:
+        return load_new_files(
+            f.spark, f"{path}/in/*/file=*/*.txt", f"{path}/table", f"{path}/ledger", str(number),
+            lambda files: read_delimited(f.spark, files, columns))
+
+    deliver("a", file < 5)
+    loads = [load(1), load(2)]
+    deliver("b", file >= 5)
+    loads.append(load(3))
+    told = f.spark.createDataFrame([(int(x.load_id), x.files) for x in loads],
+                                   "load_id int, files int")
+    rows = f.spark.read.parquet(f"{path}/table").groupBy("load_id").agg(
+        F.count("*").alias("rows"))
+    return told.join(rows, "load_id", "left").select(
+        "load_id", "files", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+@query
+def counts_from_footers(f: Flights) -> DataFrame:
+    """Rows of the given tables without reading one."""
+    names = ["customer", "orders", "lineitem", "documents", "events"]
+    return footer_counts(f.spark, {name: f"{f.folder}/{name}.parquet" for name in names})
+
+
 @query
 def audit_load_summary(f: Flights) -> DataFrame:
     return audit.load_summary(f.bronze, SOURCE_FILE, "Partida Prevista", "latest_departure")
@@ -325,6 +412,28 @@ def fact_flights(f: Flights) -> DataFrame:
     return timeless(f.derived_fact())
 
 
+@query
+def fact_by_arrivals(f: Flights) -> DataFrame:
+    """The fact from three loads, of which one delivers some steps of the others again."""
+    path = f"{shared_folder(f.spark)}/tarmaq/arrivals-{uuid4().hex}"
+    number = F.regexp_extract(SOURCE_FILE, r"VRA_(\d+)", 1)
+    load = F.when(number == "", 1).otherwise(F.floor(number.try_cast("int") / 4))
+    for part in (0, 1, 2):
+        increment.add_arrivals(f.silver.where(load == part), path, f.airlines, f.codes)
+    return timeless(read_parts(f.spark, path, f.fact))
+
+
+@query
+def fact_after_month_refresh(f: Flights) -> DataFrame:
+    """The fact of which one month was written without its cancelled steps, then built anew."""
+    path = f"{shared_folder(f.spark)}/tarmaq/months-{uuid4().hex}"
+    month = date(1995, 3, 1)
+    wrong = (F.col(increment.MONTH) == F.lit(month)) & F.col("flight_cancelled")
+    replace_parts(f.fact.where(~F.coalesce(wrong, F.lit(False))), path, increment.MONTH)
+    increment.rebuild_months(f.silver, [month], path, f.airlines, f.codes)
+    return timeless(read_parts(f.spark, path, f.fact))
+
+
 @query
 def obt_flights(f: Flights) -> DataFrame:
     return timeless(f.derived_obt())

@@ -13,6 +13,15 @@ from tarmaq.operators.dedup import require_unique
 from tarmaq.operators.quality import observed
 from tarmaq.plans import bronze, contract, dictionary, gold, silver
 from tarmaq.plans import vocabulary as V
+from tarmaq.sources.delimited import (
+    INGESTED_AT,
+    REASON,
+    REJECTED_LINE,
+    SOURCE_FILE,
+    accepted,
+    rejects,
+    with_line_counts,
+)
 from tarmaq.sources.lake import Lake
 
 EXPECTATIONS = "audit.expectations"
@@ -25,10 +34,31 @@ class Inputs:
     flights: str
     aerodromes: str
     company_folder: str
+    #: Keep lines with missing, extra or badly quoted fields out of the flights, in a table of
+    #: their own; else they load as far as they can be read.
+    reject_lines: bool = False
+
+
+def load_sound_flights(lake: Lake, path: str) -> dict[str, int]:
+    """Load the lines that are rows; the others become ``bronze.vra_rejeitadas``.
+
+    The write of the rows counts all lines, so the files are read again only if some are rejected.
+    Returns ``lines`` and ``rejects``.
+    """
+    marked = bronze.marked_flights(lake.spark, path)
+    counted, watch = with_line_counts(marked, "lines")
+    lake.build("bronze.vra", lambda: accepted(counted))
+    if watch.get["rejects"]:
+        lake.build("bronze.vra_rejeitadas", lambda: rejects(marked).select(
+            REJECTED_LINE, REASON, SOURCE_FILE, INGESTED_AT))
+    return watch.get
 
 
 def load_bronze(lake: Lake, inputs: Inputs) -> None:
-    lake.build("bronze.vra", lambda: bronze.flights(lake.spark, inputs.flights))
+    if inputs.reject_lines:
+        load_sound_flights(lake, inputs.flights)
+    else:
+        lake.build("bronze.vra", lambda: bronze.flights(lake.spark, inputs.flights))
     lake.build("bronze.aerodromos", lambda: bronze.aerodromes(lake.spark, inputs.aerodromes))
     for file, (table, _) in bronze.COMPANY_FILES.items():
         lake.build(f"bronze.{table}", partial(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -15,6 +15,10 @@ from tarmaq.functions.typing import named
 SOURCE_FILE = "_arquivo_origem"
 INGESTED_AT = "_ingerido_em"
 
+#: The raw text of a line that is no row of its table, and why.
+REJECTED_LINE = "_linha_rejeitada"
+REASON = "_motivo_rejeicao"
+
 NO_QUOTES = "\u0000"
 _NO_SEPARATOR = "\u0001"
 
@@ -73,14 +77,16 @@ def require_headers(spark: SparkSession, path: str, columns: Sequence[str], sep:
 
 
 def write_delimited(df: DataFrame, path: str, file: Column, preamble: str, sep: str = ";",
-                    columns: Sequence[str] | None = None, encoding: str = "UTF-8") -> None:
+                    columns: Sequence[str] | None = None, encoding: str = "UTF-8",
+                    line: Column | None = None) -> None:
     """Write ``columns`` (all by default) as text files with a preamble and a header line, one
     folder per ``file``.
 
-    Values are written as they are, so they must hold no separator or line end. Rows of a file
-    meet in one task, as a file has one writer; lines keep no order but the first two.
+    Values are written as they are, so they must hold no separator or line end; ``line`` replaces
+    them by a text of its own, for lines as damaged as those of others. Rows of a file meet in one
+    task, as a file has one writer; lines keep no order but the first two.
     """
-    value = F.concat_ws(sep, *[F.coalesce(named(c).cast("string"), F.lit(""))
+    value = line if line is not None else F.concat_ws(sep, *[F.coalesce(named(c).cast("string"), F.lit(""))
                                for c in columns or df.columns])
     body = df.select(file.alias("file"), F.lit(2).alias("rank"), value.alias("value"))
     opening = body.select("file").distinct().select("file", F.inline(F.array(
@@ -106,22 +112,90 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] | None
     """
     if columns is None:
         columns = header_of(spark, path, sep, encoding, quote)
-    reader = (
-        (reader or spark.read)
-        .schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-        .option("sep", sep)
-        .option("header", "true")
-        .option("enforceSchema", "true")
-        .option("encoding", encoding)
-        .option("quote", quote)
-        .option("mode", "PERMISSIVE")
-    )
-    if escape is not None:
-        reader = reader.option("escape", escape)
-    is_header = reduce(
-        lambda a, b: a & b, [named(c).eqNullSafe(F.lit(c)) for c in columns]
-    )
-    return reader.csv(path).where(~is_header)
+    reader = _reader(reader or spark.read, columns, sep, encoding, quote, escape)
+    return reader.schema(_texts(columns)).csv(path).where(~_is_header(columns))
+
+
+def _texts(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def _is_header(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [named(c).eqNullSafe(F.lit(c)) for c in columns])
+
+
+def _reader(reader: DataFrameReader | DataStreamReader, columns: Sequence[str], sep: str,
+            encoding: str, quote: str,
+            escape: str | None) -> DataFrameReader | DataStreamReader:
+    options = {"sep": sep, "header": "true", "enforceSchema": "true", "encoding": encoding,
+               "quote": quote, "mode": "PERMISSIVE"}
+    return reader.options(**options, **({} if escape is None else {"escape": escape}))
+
+
+def read_marked(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ";",
+                encoding: str = "UTF-8", quote: str = '"', escape: str | None = None,
+                reader: DataFrameReader | DataStreamReader | None = None) -> DataFrame:
+    """:func:`read_delimited` with every line told good or bad, in the same scan.
+
+    Lines are read whole and parsed with the same options. A bad line keeps its text in
+    ``REJECTED_LINE`` and NULL in its columns; ``REASON`` is ``unbalanced quotes`` where a field
+    opens with a quotation mark that does not close it, else ``too few fields`` or
+    ``too many fields``, and NULL for good lines. No line is dropped but preamble and header.
+    """
+    options = {"sep": sep, "quote": quote, "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": REJECTED_LINE}
+    options |= {} if escape is None else {"escape": escape}
+    whole = _reader(reader or spark.read, ["line"], _NO_SEPARATOR, encoding, NO_QUOTES, None)
+    lines = whole.option("columnNameOfCorruptRecord", "whole").schema(
+        _texts(["line", "whole"])).csv(path)
+    line = F.coalesce("whole", "line")
+    parsed = lines.select(
+        line.alias(REJECTED_LINE), F.col("_metadata.file_name").alias(SOURCE_FILE),
+        F.from_csv(line, _texts([*columns, REJECTED_LINE]).toDDL(), options).alias("row"))
+    mark, part, other = _literal(quote), _literal(sep), f"[^{_literal(quote)}]"
+    skipped = "" if escape in (None, quote) else f"|{_literal(escape)}."
+    plain, opened = F.col(REJECTED_LINE), F.lit(False)
+    if quote != NO_QUOTES:  # without the fields that are quoted well; most lines have none
+        has_mark = plain.contains(quote)
+        plain = F.when(has_mark, F.regexp_replace(
+            plain, f"(^|{part}){mark}(?:{mark}{mark}{skipped}|{other})*{mark}(?={part}|$)",
+            "$1")).otherwise(plain)
+        opened = has_mark & plain.rlike(f"(^|{part}){mark}")
+    fields = F.size(F.split(plain, part, -1))
+    reason = (F.when(opened, "unbalanced quotes").when(fields < len(columns), "too few fields")
+              .when(fields > len(columns), "too many fields")
+              .when(F.col("row")[REJECTED_LINE].isNotNull(), "unreadable"))
+    told = parsed.withColumn(REASON, reason)
+    good = F.col(REASON).isNull()
+    values = {c: F.when(good, F.col("row").getField(c)) for c in columns}
+    return told.select(
+        *[value.alias(c) for c, value in values.items()], SOURCE_FILE, REASON,
+        F.when(~good, F.col(REJECTED_LINE)).alias(REJECTED_LINE)).where(
+        ~(_is_header(columns) & good))
+
+
+def _literal(text: str) -> str:
+    return "".join(f"\\x{ord(c):02x}" for c in text)
+
+
+def accepted(marked: DataFrame) -> DataFrame:
+    """The good rows, without the marks."""
+    return marked.where(F.col(REASON).isNull()).drop(REJECTED_LINE, REASON)
+
+
+def rejects(marked: DataFrame) -> DataFrame:
+    """The lines that are no rows: text, reason, and whatever columns were added to all lines."""
+    return marked.where(F.col(REASON).isNotNull())
+
+
+def with_line_counts(marked: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``marked`` unchanged; whichever action runs it first counts ``lines`` and ``rejects``.
+
+    So a load learns in the write of its good rows whether it has rejects to write at all.
+    """
+    watch = Observation(name)
+    return marked.observe(watch, F.count("*").alias("lines"),
+                          F.count_if(F.col(REASON).isNotNull()).alias("rejects")), watch
 
 
 def with_source_file(df: DataFrame, name: str | None = None) -> DataFrame:

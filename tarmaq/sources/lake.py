@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmaq.operators.audit import row_counts
+from tarmaq.sources.footers import footer_counts
 from tarmaq.sources.snapshots import (
+    latest_version,
     load_history,
     read_snapshot,
     snapshot_path,
@@ -92,6 +94,17 @@ class Lake:
             [(n, None) for n in names if n not in there], "table_name string, rows bigint")
         return reduce(DataFrame.unionByName, [row_counts(there)] if there else [], missing)
 
+    def count_footers(self, names: list[str]) -> DataFrame:
+        """:meth:`count_tables` for tables with a folder, from the footers of their files alone.
+
+        The aggregate is pushed down to the Parquet reader, which takes row counts from each
+        footer, so no row group is read however large the tables are.
+        """
+        newest = {name: latest_version(self.spark, self._folder(name)) for name in names}
+        return footer_counts(self.spark, {
+            name: snapshot_path(self._folder(name), version)
+            for name, version in newest.items() if version is not None})
+
     def columns(self, layers: list[str]) -> DataFrame:
         """One row per column of every table: the base of a data dictionary."""
         described = [
