@@ -4,7 +4,7 @@ A record file is a plain sequence of frames::
 
     length of the payload   8 bytes, little endian
     masked CRC-32 of those  4 bytes
-    payload                 shard, sequence, flags, document id, then the ids, 4 bytes each
+    payload                 shard, sequence, flags, document id, then the ids, 2 or 4 bytes each
     masked CRC-32 of it     4 bytes
     line feed               1 byte: what Spark's text writer puts after a value
 
@@ -15,25 +15,38 @@ a Parquet table beside the files: one row per record with its file, offset and l
 from __future__ import annotations
 
 import math
+import re
 import struct
 import zlib
+from array import array
 from uuid import uuid4
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmaq.llm.common import arrow_map, table
+from tarmaq.llm.common import arrow_map, stored, table
 from tarmaq.session import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Text bytes that a record file is cut for; a reader holds one file at a time.
 SHARD_BYTES = 16 << 20
-#: A worker forgets its words when it remembers this many, and never remembers longer ones.
-REMEMBERED_WORDS, REMEMBERED_BYTES = 400_000, 64
-
-_LENGTH, _CHECK, _HEADER = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<IQBq")
+#: The starts of so many files, 12 bytes each, are broadcast to the readers.
+BROADCAST_FILES = 1 << 20
+#: A worker remembers the words of about this many to twice as many, and no longer ones.
+REMEMBERED_WORDS, REMEMBERED_LETTERS, REMEMBERED_SIGNS = 120_000, 48, 10_000
+#: Signs that part from a letter before them in every text; none is part of a special token.
+_CLOSING = ".,;:!?%$#*&)]}'\""
+#: Letters with one lower-case form of one letter, and no form in which they would be composed.
+_LATIN = "".join(c for c in map(chr, range(0x41, 0x17F))
+                 if c.isalpha() and c not in "\u00aa\u00b5\u00ba\u0130")
+_LETTERS = re.compile(f"[{_LATIN}]+").fullmatch
+_TYPES = {2: "H", 4: "I"}
+
+_LENGTH, _CHECK, _HEADER = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<IQBBq")
 _FRAME_BYTES = _LENGTH.size + 2 * _CHECK.size + 1
 #: Keeps a checksum of bytes that hold checksums from being trivial.
 _MASK = 0xA282EAD8
@@ -71,50 +84,99 @@ def unframe(data: bytes, at: int) -> tuple[bytes | None, int, str | None]:
     return payload, end + _CHECK.size + 1, wrong
 
 
-def payload_of(shard: int, sequence: int, key: int | None, ids: bytes) -> bytes:
-    return _HEADER.pack(shard, sequence, key is None, key or 0) + ids
+def id_width(vocabulary: int) -> int:
+    """Bytes for an id: two are enough for vocabularies of up to 65,536."""
+    return 2 if vocabulary <= 1 << 16 else 4
+
+
+def payload_of(shard: int, sequence: int, key: int | None, ids: bytes, width: int) -> bytes:
+    return _HEADER.pack(shard, sequence, key is None, width, key or 0) + ids
 
 
 def parts_of(payload: bytes | None) -> tuple:
-    """``shard, sequence, id, ids``: null and empty for no payload."""
+    """``shard, sequence, id, ids``; the ids take 4 bytes each. Null and empty for no payload."""
     if payload is None:
         return None, None, None, b""
-    shard, sequence, no_key, key = _HEADER.unpack_from(payload)
-    return shard, sequence, None if no_key else key, payload[_HEADER.size :]
+    shard, sequence, no_key, width, key = _HEADER.unpack_from(payload)
+    ids = payload[_HEADER.size :]
+    if width != 4:
+        ids = np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()
+    return shard, sequence, None if no_key else key, ids
 
 
 class Encoder:
     """Ids of texts by the tokenizers library, remembered for each run between white space.
 
     Neither the normaliser nor the splitting of this tokenizer reaches over an ASCII white space,
-    so the ids of a text are those of its runs, one after the other; a test holds them against
-    whole texts. Frequent runs are encoded once a worker.
+    so the ids of a text are those of its runs, one after the other. A new run of Latin letters
+    with closing signs is given to the library's BPE model as the two words that the splitting
+    makes of it, in the form that the normaliser gives them; any other run goes through the whole
+    library. Tests hold both against whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([w.decode() for w in words],
-                                               add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        runs = [(text or "").encode().split() for text in texts]
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        new = sorted(set().union(*runs).difference(self.known))
-        ids = dict(zip(new, self._encode(new), strict=True))
-        self.known.update((w, i) for w, i in ids.items() if len(w) <= REMEMBERED_BYTES)
-        ids = {w: i for w, i in ids.items() if len(w) > REMEMBERED_BYTES}
-        find = self.known.__getitem__
-        if not ids:
-            return [b"".join(map(find, words)) for words in runs]
-        return [b"".join(ids[w] if w in ids else find(w) for w in words) for words in runs]
+        self.width = id_width(self.library.get_vocab_size())
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelt = {ord(c): level.pre_tokenize_str(c)[0][0] for c in _LATIN}
+        self.signs: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(_TYPES[self.width], ids).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return self._packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        """The ids of lower-case letters. Words that stay in use stay remembered."""
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+            if ids is None:
+                ids = self._packed(
+                    [t.id for t in self.library.model.tokenize(word.translate(self.spelt))])
+            if len(word) <= REMEMBERED_LETTERS:
+                self.words[word] = ids
+        return ids
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run."""
+        if len(self.words) > REMEMBERED_WORDS:
+            self.older, self.words = self.words, {}
+        if len(self.signs) > REMEMBERED_SIGNS:
+            self.signs = {"": b""}
+        out, signs = [], self.signs
+        for run in runs:
+            core = run.rstrip(_CLOSING)
+            if _LETTERS(core):
+                closing = run[len(core) :]
+                if closing not in signs:
+                    signs[closing] = self._whole(closing)
+                out.append(self._word(core.lower()) + signs[closing])
+            else:
+                out.append(self._whole(run))
+        return out
+
+    def encode(self, texts: pa.StringArray) -> list[bytes]:
+        """The ids of each text as little-endian unsigned integers of ``width`` bytes."""
+        parted = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = parted.flatten().dictionary_encode()
+        ids = self._runs(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(ids), f"<u{self.width}")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        firsts = np.cumsum(sizes) - sizes
+        places = coded.indices.to_numpy()
+        lengths = sizes[places]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        data = flat[np.repeat(firsts[places] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+        borders = np.concatenate([[0], np.cumsum(pc.list_value_length(parted).to_numpy())])
+        borders = (ends[borders] * self.width).tolist()
+        return [data[a:b] for a, b in zip(borders, borders[1:], strict=False)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -135,7 +197,7 @@ def default_tokenizer() -> str:
 
 def write_records(documents: DataFrame, path: str, tokenizer: str | None = None,
                   id_column: str = "doc_id", text_column: str = "text", end_id: int = END_ID,
-                  shard_bytes: int = SHARD_BYTES, batch_texts: int = 256) -> None:
+                  shard_bytes: int = SHARD_BYTES, batch_texts: int = 1000) -> None:
     """Encode every whole text, append ``end_id`` and write one record per row below ``path``.
 
     Records lie in ascending order of id, null ids first, rows of one id by a hash of their text;
@@ -155,18 +217,19 @@ def write_records(documents: DataFrame, path: str, tokenizer: str | None = None,
     shards = rows_in.repartitionByRange(max(1, math.ceil(size / shard_bytes)), *place)
     ordered = shards.sortWithinPartitions(*place).select(
         F.spark_partition_id().alias("shard"), "id", "text")
-    end = struct.pack("<I", end_id)
 
     def run(batches):
         own, sequence = encoder(tokenizer), 0
+        end = end_id.to_bytes(own.width, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, batch_texts):
                 part = batch.slice(at, batch_texts)
                 columns = (part[c].to_pylist() for c in ("shard", "id"))
-                ids = own.encode(part["text"].to_pylist())
+                ids = own.encode(part["text"])
                 frames = []
                 for shard, key, tokens in zip(*columns, ids, strict=True):
-                    frames.append(frame(payload_of(shard, sequence, key, tokens + end)))
+                    frames.append(frame(payload_of(
+                        shard, sequence, key, tokens + end, own.width)))
                     sequence += 1
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
 
@@ -231,16 +294,24 @@ def shard_starts(index: DataFrame) -> DataFrame:
                                              F.lit(0)).alias("first"))
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record in its place: ``id, start, n_tokens, ids, problem`` and more.
+def with_starts(records: DataFrame, index: DataFrame) -> DataFrame:
+    """``records`` of :func:`scan_records` with ``start``: the ids in the whole data set before.
 
-    ``start`` is the number of ids before the record in the whole data set, by the index.
+    One row per file is broadcast as long as there are at most ``BROADCAST_FILES``; beyond that
+    Spark joins by shard, so drop ``ids`` first where they are not needed.
     """
-    return scan_records(spark, path).join(
-        shard_starts(record_index(spark, path)), "shard", "left").withColumn(
+    first = stored(shard_starts(index), "starts")
+    if first.count() <= BROADCAST_FILES:
+        first = F.broadcast(first)
+    return records.join(first, "shard", "left").withColumn(
         "start", F.col("first") + F.col("before"))
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Every record in its place: ``id, start, n_tokens, ids, problem`` and more."""
+    return with_starts(scan_records(spark, path), record_index(spark, path))
+
+
 def read_shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:
     """All records in an order that only ``seed`` decides: ``rank, id, ids, problem``.
 
@@ -278,6 +349,6 @@ def op13_token_records(spark: SparkSession, folder: str) -> DataFrame:
     """Write the documents' ids to the shared folder, and say what reading them back gives."""
     path = f"{shared_folder(spark)}/tarmaq-llm/tokens-{uuid4().hex}"
     write_records(table(spark, folder, "documents"), path)
-    return read_records(spark, path).select(
-        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"),
-        "shard", "problem")
+    light = scan_records(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return with_starts(light, record_index(spark, path)).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32", "shard", "problem")
