@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +40,16 @@ def shared_folder(spark: SparkSession) -> str:
     if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/between-steps"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, which need it wherever Python runs in a task.
+
+    Call it once after the session starts, unless the cluster has the package installed or
+    ``--py-files`` names it. The archive is built on the driver, and Spark sends it to each
+    executor, also to those that come later; no folder has to be shared for that.
+    """
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix=f"{package.name}-")
+    archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
