@@ -42,9 +42,18 @@ def row_chain(steps: Sequence[tuple[str, DataFrame]],
 
     ``targets`` holds the largest accepted difference of each pair; None accepts any loss.
     """
-    counts = row_counts(dict(steps)).agg(*[
+    return chain_of_counts(row_counts(dict(steps)), [name for name, _ in steps], targets)
+
+
+def chain_of_counts(counted: DataFrame, names: Sequence[str],
+                    targets: Sequence[int | None]) -> DataFrame:
+    """:func:`row_chain` from counts that are known: ``table_name, rows``, one row per table.
+
+    A table without a count gives NULL differences and the verdict ``CHECK``.
+    """
+    counts = counted.agg(*[
         F.sum(F.when(F.col("table_name") == name, F.col("rows"))).alias(f"rows_{i}")
-        for i, (name, _) in enumerate(steps)
+        for i, name in enumerate(names)
     ])
     pairs = []
     for i, target in enumerate(targets):
@@ -53,7 +62,7 @@ def row_chain(steps: Sequence[tuple[str, DataFrame]],
         if target is not None:
             accepted = accepted & (difference <= target)
         pairs.append(F.struct(
-            F.lit(f"{steps[i][0]} -> {steps[i + 1][0]}").alias("step"),
+            F.lit(f"{names[i]} -> {names[i + 1]}").alias("step"),
             F.col(f"rows_{i}").alias("rows_before"),
             F.col(f"rows_{i + 1}").alias("rows_after"),
             difference.alias("difference"),

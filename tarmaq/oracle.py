@@ -382,6 +382,9 @@ QUERIES = {
                      (SELECT count(*) FROM fact), NULL
               UNION ALL SELECT 'fact -> obt', (SELECT count(*) FROM fact),
                      (SELECT count(*) FROM obt), 0)""",
+    "clustered_month_of_airline": f"""
+        SELECT {STEP_KEYS}, airline_name, departure_punctual, route_icao FROM obt
+        WHERE reference_month = DATE '1995-03-01' AND icao_airline = 'A007'""",
     "layer_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS rows FROM {view}" for name, view in [
             ("silver.vra", "silver"), ("silver.airlines", "airlines"),

@@ -16,6 +16,7 @@ from tarmaq.plans import bronze, consumption, contract, gold, increment, silver
 from tarmaq.plans import vocabulary as V
 from tarmaq.plans.fixtures import Flights
 from tarmaq.session import shared_folder
+from tarmaq.sources.clustered import write_clustered
 from tarmaq.sources.arrived import Load, load_new_files
 from tarmaq.sources.delimited import (
     NO_QUOTES,
@@ -528,6 +529,17 @@ def punctual_null_by_status(f: Flights) -> DataFrame:
     return consumption.unjudgeable_by_status(f.obt)
 
 
+@query
+def clustered_month_of_airline(f: Flights) -> DataFrame:
+    """One month of one airline from the wide table, written in ranges of month and airline."""
+    path = f"{shared_folder(f.spark)}/tarmaq/clustered-{uuid4().hex}"
+    write_clustered(f.obt, path, ["reference_month", "icao_airline", "flight_number"])
+    wide = f.spark.read.schema(f.obt.schema).parquet(path)
+    chosen = wide.where((F.col("reference_month") == F.lit(date(1995, 3, 1)))
+                        & (F.col("icao_airline") == "A007"))
+    return chosen.select(*gold.STEP_KEYS, "airline_name", "departure_punctual", "route_icao")
+
+
 # Audits
 
 

@@ -94,6 +94,16 @@ class Lake:
             [(n, None) for n in names if n not in there], "table_name string, rows bigint")
         return reduce(DataFrame.unionByName, [row_counts(there)] if there else [], missing)
 
+    def written_counts(self, names: list[str]) -> DataFrame:
+        """``table_name, rows`` as the newest write of each table counted them; no table is read.
+
+        NULL for a table that was never written.
+        """
+        newest = [self.history(name).agg(
+            F.lit(name).alias("table_name"),
+            F.max_by("rows_written", "version").alias("rows")) for name in names]
+        return reduce(DataFrame.unionByName, newest)
+
     def count_footers(self, names: list[str]) -> DataFrame:
         """:meth:`count_tables` for tables with a folder, from the footers of their files alone.
 
