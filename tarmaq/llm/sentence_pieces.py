@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
-from os.path import commonprefix
+from functools import cached_property
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmaq.llm.common import arrow_map, stored, table
+from tarmaq.llm.piece_trie import PieceTrie
 
 #: Words at least this share of all words go into the broadcast dictionary, so it has at most as
 #: many entries as this number, whatever the corpus.
@@ -28,8 +28,9 @@ UNKNOWN_PENALTY = 10.0
 #: Kinds of characters between which a text may be parted: letters and digits, underscores, spaces,
 #: line feeds, other signs.
 _KINDS = (r"[^\W_]", "_", " ", r"\n", r"[^\w \n]")
-#: Documents whose words are looked up, and if new encoded, together.
-DOCUMENTS_AT_ONCE = 256
+#: Words that are counted or looked up together, and the characters of a text that holds as many.
+WORDS_AT_ONCE = 1 << 18
+LONG_TEXT = 1 << 20
 
 
 def word_pattern(pieces: Iterable[str]) -> re.Pattern[str]:
@@ -90,35 +91,34 @@ class Pieces:
     def spell(self, character: str) -> list[int]:
         return [self.byte_ids[b] for b in character.encode()]
 
+    @cached_property
+    def trie(self) -> PieceTrie:
+        return PieceTrie(self.ids, self.scores, self.unknown)
+
     def fold(self, word: str) -> list[int]:
         """The best segmentation of one word; of equal scores, the shortest last pieces."""
-        return next(iter(self.fold_all([word])))
-
-    def fold_all(self, words: Iterable[str]) -> Iterable[list[int]]:
-        """:meth:`fold` for each word; what a word shares with the one before is not redone."""
-        ids, get, longest, unknown = self.ids, self.scores.get, self.longest, self.unknown
-        best, back, before = [0.0], [0], ""
+        best, back, get = [0.0], [0], self.scores.get
+        for end in range(1, len(word) + 1):
+            top, where = best[end - 1] + get(word[end - 1 : end], self.unknown), end - 1
+            for start in range(end - 2, max(0, end - self.longest) - 1, -1):
+                score = get(word[start:end])
+                if score is not None and best[start] + score > top:
+                    top, where = best[start] + score, start
+            best.append(top)
+            back.append(where)
+        out, end = [], len(word)
+        while end:
+            piece = word[back[end] : end]
+            out.append([self.ids[piece]] if piece in self.ids else self.spell(piece))
+            end = back[end]
+        return [i for part in reversed(out) for i in part]
+
+    def fold_all(self, words: list[str], longest: int) -> Iterator[bytes]:
+        """:meth:`fold` of each word as 32-bit numbers; up to ``longest`` characters together."""
+        together = iter(self.trie.segment([w for w in words if len(w) <= longest]))
         for word in words:
-            shared = len(commonprefix((word, before)))
-            del best[shared + 1 :], back[shared + 1 :]
-            before = word
-            for end in range(shared + 1, len(word) + 1):
-                score = get(word[end - 1 : end], unknown)
-                top, where = best[end - 1] + score, end - 1
-                for start in range(max(0, end - longest), end - 1):
-                    score = get(word[start:end])
-                    if score is not None and best[start] + score > top:
-                        top, where = best[start] + score, start
-                    elif score is not None and best[start] + score == top and start > where:
-                        where = start
-                best.append(top)
-                back.append(where)
-            out, end = [], len(word)
-            while end:
-                piece = word[back[end] : end]
-                out.append([ids[piece]] if piece in ids else self.spell(piece))
-                end = back[end]
-            yield [i for part in reversed(out) for i in part]
+            ids = next(together) if len(word) <= longest else None
+            yield np.array(self.fold(word), np.int32).tobytes() if ids is None else ids
 
 
 def units(text: str | None, words: re.Pattern[str] | None = None) -> list[str]:
@@ -131,23 +131,38 @@ def units(text: str | None, words: re.Pattern[str] | None = None) -> list[str]:
     return words.findall(" " + text) if words else [" " + text]
 
 
-def word_counts(documents: DataFrame, pieces: Pieces, text_column: str = "text",
-                longest: int = DICTIONARY_WORD_CHARS) -> DataFrame:
-    """``word, count`` over all whole texts, for words of at most ``longest`` characters; counts
-    are combined in each batch first."""
+def word_groups(texts: pa.Array, words: re.Pattern[str]
+                ) -> Iterator[list[tuple[int, Iterable[str]]]]:
+    """The words of the texts in order, as lists of ``place, words`` of bounded size.
 
-    pattern = pieces.words
+    A long text comes in several parts, so that its words are never objects all at once.
+    """
+    group, count = [], 0
+    for place, scalar in enumerate(texts):
+        text = scalar.as_py()
+        parts = [units(text, words)] if len(text or "") <= LONG_TEXT else batched(
+            (m[0] for m in words.finditer(" " + text)), WORDS_AT_ONCE)
+        for part in parts:
+            group.append((place, part))
+            count += len(part)
+            if count >= WORDS_AT_ONCE:
+                yield group
+                group, count = [], 0
+    if count:
+        yield group
 
-    def rows(batch: pa.RecordBatch):
-        counts: Counter[str] = Counter()
-        for text in batch["text"]:
-            counts.update(units(text.as_py(), pattern))
-        short = {w: n for w, n in counts.items() if len(w) <= longest}
-        yield {"word": list(short), "count": list(short.values())}
 
-    texts = documents.select(F.col(f"`{text_column}`").alias("text"))
-    partial = arrow_map(texts, rows, "word string, count bigint")
-    return partial.groupBy("word").agg(F.sum("count").alias("count"))
+def word_counts(documents: DataFrame, pieces: Pieces, text_column: str = "text",
+                longest: int = DICTIONARY_WORD_CHARS) -> DataFrame:
+    """``word, count`` over all whole texts, for words of at most ``longest`` characters.
+
+    Counted by Spark alone. Its regular expressions see some rare signs as another kind of
+    character; a word that is parted otherwise here is none of the dictionary, and folded later.
+    """
+    text = F.col(f"`{text_column}`")
+    words = documents.where(F.length(text) > 0).select(F.explode(F.regexp_extract_all(
+        F.concat(F.lit(" "), text), F.lit(pieces.words.pattern), F.lit(0))).alias("word"))
+    return words.where(F.length("word") <= longest).groupBy("word").count()
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -219,14 +234,13 @@ def dictionary(counts: DataFrame, pieces: Pieces, entries: int = DICTIONARY_ENTR
     return out
 
 
-def _list_column(parts: list[bytes], null: pa.Array) -> pa.Array:
-    lengths = np.array([len(p) // 4 for p in parts], np.int64)
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.ListArray.from_arrays(
-        pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)), mask=null)
-
-
-_remembered: dict[int, dict[str, bytes]] = {}
+def _joined(index: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of ``parts[i]`` for each ``i`` of ``index`` in a row, and where each one ends."""
+    sizes = np.array([len(p) // 4 for p in parts], np.int64)
+    sizes, starts = sizes[index], (np.cumsum(sizes) - sizes)[index]
+    ends = np.cumsum(sizes)
+    places = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])
+    return np.frombuffer(b"".join(parts), np.int32)[places], ends
 
 
 def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
@@ -243,52 +257,56 @@ def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
     known = spark.sparkContext.broadcast(
         (pieces, dictionary(word_counts(documents, pieces, text_column, longest), pieces, entries,
                             longest)))
-    number = known.id if hasattr(known, "id") else 0
     others = [c for c in documents.columns if c != ids_column]
     rows_in = documents.select(*[F.col(f"`{c}`") for c in others])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows_in.schema)
+    rare: dict[str, bytes] = {}
 
     def rows(batch: pa.RecordBatch):
         pieces, frequent = known.value
-        if number not in _remembered:  # what earlier tables left in this worker goes
-            _remembered.clear()
-        rare = _remembered.setdefault(number, {})
-
-        texts, parts = batch[text_column], []
-        for at in range(0, len(texts), DOCUMENTS_AT_ONCE):
-            told = [units(t, pieces.words) for t in texts[at : at + DOCUMENTS_AT_ONCE].to_pylist()]
-            words = set(chain.from_iterable(told))
-            new = sorted(w for w in words if w not in frequent and w not in rare)
+
+        texts, parts = batch[text_column], [np.zeros(0, np.int32)]
+        sizes = np.zeros(len(texts) + 1, np.int64)
+        for group in word_groups(texts, pieces.words):
+            place: dict[str, int] = {}
+            index = np.array([place.setdefault(w, len(place)) for _, words in group
+                              for w in words], np.int64)
+            new = [w for w in place if w not in frequent and w not in rare]
             if len(rare) + len(new) > REMEMBERED_WORDS:
                 rare.clear()
-                new = sorted(w for w in words if w not in frequent)
-            here = dict(zip(new, (np.array(ids, np.int32).tobytes()
-                                  for ids in pieces.fold_all(new)), strict=True))
-            rare.update((w, ids) for w, ids in here.items() if len(w) <= DICTIONARY_WORD_CHARS)
-            here.update((w, frequent.get(w) or rare[w]) for w in words if w not in here)
-            parts += [b"".join(map(here.__getitem__, t)) for t in told]
-        ids = _list_column(parts, texts.is_null())
+                new = [w for w in place if w not in frequent]
+            here = dict(zip(new, pieces.fold_all(new, longest), strict=True))
+            rare.update((w, ids) for w, ids in here.items() if len(w) <= longest)
+            ids, ends = _joined(index, [
+                frequent.get(w) or rare.get(w) or here[w] for w in place])
+            parts.append(ids)
+            places, counts = zip(*((p, len(w)) for p, w in group), strict=True)
+            ends = np.concatenate([[0], ends])[np.cumsum((0, *counts))]
+            np.add.at(sizes, np.array(places) + 1, np.diff(ends))
+        offsets = pa.array(np.cumsum(sizes).astype(np.int32))
+        ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts)),
+                                       mask=texts.is_null())
         yield {c: batch[c] for c in others} | {ids_column: ids}
 
     return arrow_map(rows_in, rows, f"{fields}, `{ids_column}` array<int>")
 
 
+def spelled(ids: Column, pieces: Pieces) -> Column:
+    """The text that ids spell, in built-in expressions; null for null.
+
+    The pieces stand in one constant array by id, as hexadecimal bytes, since a piece of a byte is
+    no text by itself; the model fixes its size. The first byte is the space before each text.
+    """
+    table = F.split(F.lit(",".join(
+        pieces.texts.get(i, b"").hex() for i in range(max(pieces.texts) + 1))), ",")
+    joined = F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
+    return F.decode(F.substring(joined, 2, 0x7FFFFFFF), "UTF-8")
+
+
 def decode(encoded: DataFrame, pieces: Pieces, ids_column: str = "ids",
            text_column: str = "decoded") -> DataFrame:
     """``encoded`` with the texts that the ids spell; null ids stay null."""
-    known = encoded.sparkSession.sparkContext.broadcast(pieces.texts)
-    others = [c for c in encoded.columns if c != text_column]
-    rows_in = encoded.select(*[F.col(f"`{c}`") for c in others])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows_in.schema)
-
-    def rows(batch: pa.RecordBatch):
-        spelled, out = known.value.__getitem__, []
-        for ids in batch[ids_column]:  # one document's numbers at a time become objects
-            out.append(b"".join(map(spelled, ids.values.to_numpy().tolist()))[1:].decode()
-                       if ids.is_valid else None)
-        yield {c: batch[c] for c in others} | {text_column: out}
-
-    return arrow_map(rows_in, rows, f"{fields}, `{text_column}` string")
+    return encoded.withColumn(text_column, spelled(F.col(f"`{ids_column}`"), pieces))
 
 
 def default_model() -> str:

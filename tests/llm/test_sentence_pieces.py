@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from tarmaq.llm import sentence_pieces
 from tarmaq.llm.sentence_pieces import (
     Pieces,
     decode,
     default_model,
     encode,
     lattice,
+    op9_sentence_pieces,
     units,
     viterbi,
+    word_groups,
 )
 
 BYTES = range(1000, 1256)
@@ -143,3 +149,43 @@ def test_unigram_pieces_across_words(spark, crossing):
     encoded = encode(df, pieces)
     found = {r.doc_id: (r.ids, r.decoded) for r in decode(encoded, pieces).collect()}
     assert found == {i: (whole_text_ids(t, rows, list(BYTES)), t) for i, t in enumerate(texts)}
+
+
+def test_trie_folds_as_word_by_word(pieces):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abab c") for _ in range(rng.randint(1, 20))) for _ in range(3000)]
+    for longest in (5, 48):
+        found = [np.frombuffer(p, np.int32).tolist() for p in pieces.fold_all(words, longest)]
+        assert found == [pieces.fold(w) for w in words]
+    assert list(pieces.fold_all([], 48)) == []
+
+
+@pytest.mark.parametrize("at_once", [1, 7])
+def test_long_texts_come_in_parts(spark, pieces, at_once, monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "LONG_TEXT", 10)
+    monkeypatch.setattr(sentence_pieces, "WORDS_AT_ONCE", at_once)
+    texts = ["ab a b ba" * 9, None, "", "a", " ba  b\n" * 5, "b"]
+    groups = list(word_groups(pa.array(texts), pieces.words))
+    assert all(sum(len(w) for _, w in g) < at_once + 10 for g in groups)
+    for i, text in enumerate(texts):
+        assert [w for g in groups for p, part in g if p == i for w in part] == units(
+            text, pieces.words)
+
+
+def test_query(spark, tmp_path):
+    """The registered query over whole texts, one of them long."""
+    rows = [(i, t, "x") for i, t in enumerate([*CODE, "", None, "Ünḯ 字 ⁀_ \x00\t" * 40, CODE[0],
+                                               "word and_ more. " * 2000])]
+    spark.createDataFrame(rows, "doc_id long, text string, ids string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    pieces = Pieces.from_model(default_model())
+    entries = [(i, p, pieces.scores[p]) for p, i in pieces.ids.items()]
+    for r in op9_sentence_pieces(spark, str(tmp_path)).collect():
+        text = rows[r.doc_id][1]
+        assert r.decoded_sha256 == r.text_sha256
+        if text is None:
+            assert r.ids is None and r.text_sha256 is None
+        else:
+            assert r.ids == (whole_text_ids(text, entries, pieces.byte_ids) if text else [])
+            assert r.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+            assert r.n_tokens == len(r.ids)
