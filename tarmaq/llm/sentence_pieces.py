@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
-from itertools import batched
+from itertools import batched, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -137,18 +138,18 @@ def word_groups(texts: pa.Array, words: re.Pattern[str]
 
     A long text comes in several parts, so that its words are never objects all at once.
     """
-    group, count = [], 0
+    group, held = [], 0
     for place, scalar in enumerate(texts):
         text = scalar.as_py()
         parts = [units(text, words)] if len(text or "") <= LONG_TEXT else batched(
             (m[0] for m in words.finditer(" " + text)), WORDS_AT_ONCE)
         for part in parts:
             group.append((place, part))
-            count += len(part)
-            if count >= WORDS_AT_ONCE:
+            held += len(part)
+            if held >= WORDS_AT_ONCE:
                 yield group
-                group, count = [], 0
-    if count:
+                group, held = [], 0
+    if held:
         yield group
 
 
@@ -236,7 +237,7 @@ def dictionary(counts: DataFrame, pieces: Pieces, entries: int = DICTIONARY_ENTR
 
 def _joined(index: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of ``parts[i]`` for each ``i`` of ``index`` in a row, and where each one ends."""
-    sizes = np.array([len(p) // 4 for p in parts], np.int64)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
     sizes, starts = sizes[index], (np.cumsum(sizes) - sizes)[index]
     ends = np.cumsum(sizes)
     places = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])
@@ -245,13 +246,14 @@ def _joined(index: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarr
 
 def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
            ids_column: str = "ids", entries: int = DICTIONARY_ENTRIES,
-           longest: int = DICTIONARY_WORD_CHARS) -> DataFrame:
+           longest: int = DICTIONARY_WORD_CHARS, keep_text: bool = True) -> DataFrame:
     """``documents`` with ``ids``: each text's pieces of the highest summed score.
 
     Words are encoded once, not per document: the frequent ones by the relational lattice, as a
     dictionary of bounded size; any other word by the same fold when a task meets it. Nothing is
     shuffled but word counts. Null texts stay null, an empty text has no ids, a column that is
-    already called ``ids_column`` is replaced, and rows may repeat.
+    already called ``ids_column`` is replaced, and rows may repeat. Without ``keep_text`` the texts
+    need not travel back from the Python workers.
     """
     spark = documents.sparkSession
     known = spark.sparkContext.broadcast(
@@ -259,7 +261,9 @@ def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
                             longest)))
     others = [c for c in documents.columns if c != ids_column]
     rows_in = documents.select(*[F.col(f"`{c}`") for c in others])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows_in.schema)
+    kept = [c for c in others if keep_text or c != text_column]
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows_in.schema
+                     if f.name in kept)
     rare: dict[str, bytes] = {}
 
     def rows(batch: pa.RecordBatch):
@@ -268,9 +272,9 @@ def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
         texts, parts = batch[text_column], [np.zeros(0, np.int32)]
         sizes = np.zeros(len(texts) + 1, np.int64)
         for group in word_groups(texts, pieces.words):
-            place: dict[str, int] = {}
-            index = np.array([place.setdefault(w, len(place)) for _, words in group
-                              for w in words], np.int64)
+            place: defaultdict[str, int] = defaultdict(count().__next__)
+            index = np.fromiter(map(place.__getitem__, chain.from_iterable(
+                words for _, words in group)), np.int64)
             new = [w for w in place if w not in frequent and w not in rare]
             if len(rare) + len(new) > REMEMBERED_WORDS:
                 rare.clear()
@@ -286,9 +290,9 @@ def encode(documents: DataFrame, pieces: Pieces, text_column: str = "text",
         offsets = pa.array(np.cumsum(sizes).astype(np.int32))
         ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts)),
                                        mask=texts.is_null())
-        yield {c: batch[c] for c in others} | {ids_column: ids}
+        yield {c: batch[c] for c in kept} | {ids_column: ids}
 
-    return arrow_map(rows_in, rows, f"{fields}, `{ids_column}` array<int>")
+    return arrow_map(rows_in, rows, f"{fields}`{ids_column}` array<int>")
 
 
 def spelled(ids: Column, pieces: Pieces) -> Column:
@@ -318,9 +322,8 @@ def default_model() -> str:
 def op9_sentence_pieces(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
     """Ids of every document, and the digest of what they decode to."""
     pieces = Pieces.from_model(model or default_model())
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = encode(documents, pieces).select(
-        "doc_id", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"), "ids")
-    return decode(encoded, pieces).select(
+    documents = table(spark, folder, "documents").select(
+        "doc_id", "text", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+    return decode(encode(documents, pieces, keep_text=False), pieces).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text_sha256",
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
