@@ -47,7 +47,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, n_tokens, ids`` of each document of the mix."""
     encoded = encode(docs.select("doc_id", "source", "text"),
-                     Pieces.from_model(default_model()))
+                     Pieces.from_model(default_model()), keep_text=False)
     return encoded.select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens"),
                           "ids")
 
