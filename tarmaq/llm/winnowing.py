@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from tarmaq.llm.common import row_key, stored, table
 
-#: What a gram is made of: a character of a script that writes without spaces, or up to sixteen
-#: others between white space.
-UNIT = r"[\u3040-\u30FF\u3400-\u9FFF]|[^\s\u3040-\u30FF\u3400-\u9FFF]{1,16}"
-GRAM_UNITS = 4
+#: Code points of a gram, and grams of a window.
+GRAM_CHARS = 6
 WINDOW_GRAMS = 16
 _POSITION_BITS = 31
 _LAST_POSITION = (1 << _POSITION_BITS) - 1
@@ -24,33 +22,34 @@ def _least_of(column: str, count: int, stride: int) -> Column:
         x, *[F.get(column, i + j * stride) for j in range(1, count)]))
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str, k: int = GRAM_UNITS,
+def with_fingerprint(df: DataFrame, text: str, name: str, k: int = GRAM_CHARS,
                      w: int = WINDOW_GRAMS) -> DataFrame:
     """Add ``name``, the fingerprint of ``text``: one number per chosen gram, in order of place.
 
     A number is ``hash << 31 | (2^31 - 1 - place)`` with 32 bits of hash; the least in each window
-    of ``w`` grams is kept, so of equal hashes the rightmost. Any ``w + k - 1`` units that two
-    texts share hold a gram that both keep. A text of fewer units is one gram or one window; a
-    text without any, null included, has the one number of the empty gram. ``df`` may have any
-    other columns but those that start with ``name``; ``w`` is a square.
+    of ``w`` grams is kept, so of equal hashes the rightmost. Grams are ``k`` code points of the
+    text as it is, white space included, so they need no words and an insertion moves none but its
+    own. Any ``w + k - 1`` characters that two texts share hold a gram that both keep. A shorter text
+    is one gram or one window; an empty text, null included, has the one number of the empty gram.
+    ``df`` may have any other columns but ``name`` and those that start with it; ``w`` is a square.
 
     Each step is a projection that names its input twice, so that no lambda computes it again.
     """
     side = math.isqrt(w)
     if side * side != w:
         raise ValueError("the window must be a square number")
-    others, units = df.columns, f"{name}__units"
+    others, chars = df.columns, f"{name}__chars"
 
     def whole(column: str, cut: int) -> Column:
         """Without the last ``cut`` elements, which reach over the end; one stays."""
         return F.slice(column, F.lit(1), F.greatest(F.size(column) - cut, F.lit(1)))
 
-    df = df.select(*others, F.regexp_extract_all(
-        F.coalesce(F.col(text), F.lit("")), F.lit(UNIT), F.lit(0)).alias(units))
-    grams = F.transform(F.col(units), lambda u, i: F.shiftleft(
-        F.xxhash64(u, *[F.get(units, i + j) for j in range(1, k)])
+    df = df.select(*others, F.split(F.coalesce(F.col(text), F.lit("")), F.lit("")).alias(chars))
+    grams = F.transform(F.col(chars), lambda c, i: F.shiftleft(
+        F.xxhash64(c, *[F.get(chars, i + j) for j in range(1, k)])
         .bitwiseAND(F.lit(0xFFFFFFFF)), _POSITION_BITS) + (F.lit(_LAST_POSITION) - i))
-    df = df.select(*others, F.when(F.size(units) > 0, grams).otherwise(
+    # An empty text is split to one empty part.
+    df = df.select(*others, F.when(F.get(chars, F.lit(0)) != "", grams).otherwise(
         F.array(F.lit(_LAST_POSITION).cast("bigint"))).alias(name))
     df = df.select(*others, whole(name, k - 1).alias(name))
     df = df.select(*others, _least_of(name, side, 1).alias(name))
@@ -108,9 +107,10 @@ def fingerprints_and_edits(documents: DataFrame, id_column: str = "doc_id",
 
     ``id, text, n_chars, edited, own, changed, own_hashes, changed_hashes, next_hashes``. The
     edited text has its last quarter replaced by the first as many characters of the next
-    document. Only those characters and the fingerprints travel; the texts are shuffled once, and
-    each fingerprint is taken once. Null texts are empty; rows that repeat entirely share a place in the order; a single
-    document is its own neighbour; other columns are ignored.
+    document. The texts are shuffled once; besides them only those characters and the hashes for the
+    document before travel, so a text's own fingerprint is taken again rather than sent. Null texts
+    are empty; rows that repeat entirely share a place in the order; a single document is its own
+    neighbour; other columns are ignored.
     """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     rows = documents.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"))
@@ -123,20 +123,13 @@ def fingerprints_and_edits(documents: DataFrame, id_column: str = "doc_id",
     found = with_fingerprint(
         texts.withColumn("copy", copy).where("copy = 1").join(links, "key"), "text", "own")
     head = F.substring("text", F.lit(1), F.floor(F.col("earlier_size") / 4).cast("int"))
-    sent = found.select("key", "earlier_key", head.alias("head"), "own",
-                        hashes_of("own").alias("own_hashes"))
-    to_itself = F.struct(F.col("key"), F.lit(None).cast("string").alias("head"), "own",
-                         F.lit(None).cast("array<int>").alias("next_hashes"))
-    to_earlier = F.struct(F.col("earlier_key").alias("key"), "head",
-                          F.lit(None).cast("array<bigint>").alias("own"),
-                          F.col("own_hashes").alias("next_hashes"))
-    received = sent.select(F.explode(F.array(to_itself, to_earlier)).alias("r")).select("r.*")
-    received = received.groupBy("key").agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in ("head", "own", "next_hashes")])
+    # Each key is the earlier neighbour of exactly one.
+    received = found.select(F.col("earlier_key").alias("key"), head.alias("head"),
+                            hashes_of("own").alias("next_hashes"))
     joined = texts.join(received, "key").select(
-        "id", "text", "own", "next_hashes", F.concat(F.substring(
+        "id", "text", "next_hashes", F.concat(F.substring(
             "text", F.lit(1), size - F.floor(size / 4).cast("int")), "head").alias("edited"))
-    both = with_fingerprint(joined, "edited", "changed")
+    both = with_fingerprint(with_fingerprint(joined, "text", "own"), "edited", "changed")
     return both.select(
         "id", "text", size.cast("bigint").alias("n_chars"), "edited", "own", "changed",
         hashes_of("own").alias("own_hashes"), hashes_of("changed").alias("changed_hashes"),
