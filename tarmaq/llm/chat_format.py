@@ -78,11 +78,13 @@ def prefix_trees(conversations: DataFrame, id_column: str = "conv_id",
     conversation.
 
     Conversations that share initial turns share their nodes, and equal conversations all. A node
-    is one turn and stands once: ``layout, tree, path, place, formatted, start, end, position,
+    is one turn and stands once: ``layout, tree, path, place, formatted, start, end, run, position,
     ancestors, learnt_start, learnt_end``. A layout is all that begins with the same turn, its nodes
     depth first: ``start`` and ``end`` are a node's interval there in code points, ``position`` is
     the position id of its first one, counted along its own conversation, and ``ancestors`` are the
-    intervals it may attend to besides itself. ``learnt_start`` and ``learnt_end`` bound the text
+    intervals it may attend to besides itself. Ancestors that touch inside a tree are one interval,
+    and ``run`` is where the one begins that the node goes on, so a node has fewer intervals than
+    its tree has conversations, however many turns come before it. ``learnt_start`` and ``learnt_end`` bound the text
     under the loss mask (null for others).
 
     A tree is what a task lays out at a time: the conversations below the first node that at most
@@ -143,7 +145,7 @@ def prefix_trees(conversations: DataFrame, id_column: str = "conv_id",
     bases = items.select("tree", "layout", F.col("start").alias("base")).join(seen, "tree", "left")
     nodes = below.unionByName(trunk).join(bases, "tree").groupBy("tree").applyInPandas(_lay_out, (
         "layout string, tree string, path string, place int, formatted string, start bigint, "
-        "end bigint, position bigint, ancestors array<struct<start:bigint,end:bigint>>, "
+        "end bigint, run bigint, position bigint, ancestors array<struct<start:bigint,end:bigint>>, "
         "learnt_start bigint, learnt_end bigint"))
     return nodes, members.join(roots.select("leaf", "tree", "layout"), "leaf").select(
         "conv", "leaf", "tree", "layout")
@@ -199,24 +201,28 @@ def _lay_out(rows: pd.DataFrame) -> pd.DataFrame:
             before = path
     out, at = [], int(rows["base"].iloc[0])
     given = rows["seen"].iloc[0]
-    seen = () if given is None else tuple((int(x["start"]), int(x["end"])) for x in given)
-    todo: list[tuple[str, tuple[tuple[int, int], ...]]] = [
-        (p, seen) for p in sorted(children.get(_ROOT, ()), reverse=True)]
+    trunk = [] if given is None else [{"start": x["start"], "end": x["end"]} for x in given]
+    counted = sum(int(x["end"] - x["start"]) for x in trunk)
+    # Paths to lay out, with the position each begins at and its intervals inside this tree.
+    todo: list[tuple[str, int, tuple[tuple[int, int], ...]]] = [
+        (p, counted, ()) for p in sorted(children.get(_ROOT, ()), reverse=True)]
     while todo:
-        path, ancestors = todo.pop()
+        path, position, ancestors = todo.pop()
         place, role, text = turns[path]
         formatted, start, end = format_turn(role, text)
-        own = (at, at + len(formatted))
+        begin, at = at, at + len(formatted)
+        goes_on = bool(ancestors) and ancestors[-1][1] == begin
+        run = ancestors[-1][0] if goes_on else begin
         learnt = role == LEARNT_ROLE
-        out.append((rows["layout"].iloc[0], rows["tree"].iloc[0], path, place, formatted, *own,
-                    sum(b - a for a, b in ancestors),
-                    [{"start": a, "end": b} for a, b in ancestors],
-                    at + start if learnt else None, at + end if learnt else None))
-        at = own[1]
-        todo += [(p, (*ancestors, own)) for p in sorted(children.get(path, ()), reverse=True)]
+        out.append((rows["layout"].iloc[0], rows["tree"].iloc[0], path, place, formatted, begin,
+                    at, run, position, trunk + [{"start": a, "end": b} for a, b in ancestors],
+                    begin + start if learnt else None, begin + end if learnt else None))
+        below = (*(ancestors[:-1] if goes_on else ancestors), (run, at))
+        todo += [(p, position + len(formatted), below)
+                 for p in sorted(children.get(path, ()), reverse=True)]
     frame = pd.DataFrame(out, columns=[
-        "layout", "tree", "path", "place", "formatted", "start", "end", "position", "ancestors",
-        "learnt_start", "learnt_end"])
+        "layout", "tree", "path", "place", "formatted", "start", "end", "run", "position",
+        "ancestors", "learnt_start", "learnt_end"])
     return frame.astype({"learnt_start": "Int64", "learnt_end": "Int64"})
 
 
@@ -224,14 +230,16 @@ def read_back(nodes: DataFrame, members: DataFrame) -> DataFrame:
     """``conv, formatted, learnt`` from the laid-out trees alone.
 
     A conversation is the intervals that its last node attends to, in order, and that node's own;
-    ``learnt`` are the texts under the loss mask there, unescaped.
+    ``learnt`` are the texts under the loss mask there, unescaped. An interval is read as the nodes
+    of its run that end in it.
     """
-    ends = members.join(nodes.select(
-        F.col("path").alias("leaf"), F.concat("ancestors", F.array(F.struct(
-            "start", "end"))).alias("seen")), "leaf")
-    asked = ends.select("layout", "leaf", F.explode(F.col("seen.start")).alias("start")).distinct()
-    parts = asked.join(nodes.select("layout", "start", "formatted", "learnt_start", "learnt_end"),
-                       ["layout", "start"])
+    own = F.array(F.struct(F.col("run").alias("start"), "end"))
+    ends = members.join(nodes.select(F.col("path").alias("leaf"), F.concat(F.filter(
+        "ancestors", lambda a: a["start"] != F.col("run")), own).alias("seen")), "leaf")
+    asked = ends.select("layout", "leaf", F.inline("seen").alias("run", "until")).distinct()
+    parts = asked.join(nodes.select("layout", "run", "start", "end", "formatted", "learnt_start",
+                                    "learnt_end"), ["layout", "run"]).where(
+        F.col("end") <= F.col("until"))
     texts = parts.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct(
         "start", "formatted", F.expr(
             "CASE WHEN learnt_start IS NOT NULL THEN substring(formatted, "

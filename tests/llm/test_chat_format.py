@@ -34,6 +34,10 @@ def conversations():
     return rows
 
 
+def covered(intervals):
+    return [place for start, end in intervals for place in range(start, end)]
+
+
 @pytest.mark.parametrize("most", [1, 3, 64])
 def test_round_trip(spark, most):
     rows = conversations()
@@ -67,8 +71,11 @@ def test_shared_turns_stand_once_and_depth_first(spark):
             assert n.start == at and n.end == at + len(n.formatted)
             at = n.end
             assert n.position == sum(a.end - a.start for a in n.ancestors)
-            assert len(n.ancestors) == n.place - 1
+            held = [m for m in tree if any(a.start <= m.start < a.end for a in n.ancestors)]
+            assert sorted(m.place for m in held) == list(range(1, n.place))
             assert all(a.end <= n.start for a in n.ancestors)
+            assert all(a.end < b.start for a, b in zip(n.ancestors, n.ancestors[1:],
+                                                       strict=False))
 
 
 def test_trees_stay_small(spark):
@@ -124,7 +131,7 @@ def test_shared_turns_stand_once_above_the_cap(spark):
         for n in sorted(layout, key=lambda n: n.start):
             assert n.start == at and n.end == at + len(n.formatted)
             above = [*above[: n.place - 1], (n.start, n.end)]  # depth first
-            assert [(a.start, a.end) for a in n.ancestors] == above[:-1]
+            assert covered((a.start, a.end) for a in n.ancestors) == covered(above[:-1])
             assert n.position == sum(b - a for a, b in above[:-1])
             at = n.end
     told = {r.conv: r.formatted for r in read_back(nodes, members).collect()}
@@ -132,3 +139,17 @@ def test_shared_turns_stand_once_above_the_cap(spark):
     for conv, _, role, text, _ in rows:
         want[conv] = want.get(conv, "") + format_turn(role, text)[0]
     assert told == want
+
+
+def test_a_very_long_conversation(spark):
+    """10,000 turns, and others that leave it at some turn, take intervals by branch, not by turn."""
+    rows = [(0, t, "assistant" if t % 2 else "user", f"t{t}", None) for t in range(10_000)]
+    for conv, leaves in ((1, 4_000), (2, 9_999)):
+        rows += [(conv, *r[1:]) for r in rows[:leaves]] + [(conv, leaves, "user", f"{conv}", None)]
+    nodes, members = prefix_trees(spark.createDataFrame(rows, SCHEMA))
+    found = nodes.collect()
+    assert len(found) == 10_002 and max(len(n.ancestors) for n in found) <= 2
+    for r in read_back(nodes, members).collect():
+        turns = [(x[2], x[3]) for x in rows if x[0] == r.conv]
+        assert parse_turns(r.formatted) == turns
+        assert len(r.learnt) == sum(role == "assistant" for role, _ in turns)
