@@ -52,33 +52,6 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
         .alias("target"))
 
 
-def _running(rows: DataFrame, keys: Sequence[str], units: str) -> DataFrame:
-    """Add ``before``: the units of all rows of the same source that come earlier.
-
-    A prefix sum in three levels (size steps of a source, salts of a step, rows of a salt), so
-    that no task sorts a whole source however large it is.
-    """
-    number, step, salt = keys
-    by_salt = rows.groupBy(number, step, salt).agg(F.sum(units).alias("__salt"))
-    by_step = by_salt.groupBy(number, step).agg(F.sum("__salt").alias("__step"))
-
-    def earlier(of: str, within: list[str], order: Column) -> Column:
-        window = Window.partitionBy(*within).orderBy(order).rowsBetween(
-            Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(of).over(window), F.lit(0))
-
-    by_step = by_step.select(number, step, earlier("__step", [number], F.col(step).desc())
-                             .alias("__before_step"))
-    by_salt = by_salt.select(number, step, salt, earlier("__salt", [number, step], F.col(salt))
-                             .alias("__before_salt"))
-    before = by_salt.join(by_step, [number, step]).select(
-        number, step, salt, (F.col("__before_step") + F.col("__before_salt")).alias("__before"))
-    own = Window.partitionBy(number, step, salt).orderBy(
-        F.col("__size").desc(), "__id", "__row").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(before, [number, step, salt]).withColumn(
-        "before", F.col("__before") + F.coalesce(F.sum(units).over(own), F.lit(0)))
-
-
 def systematic_mix(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                    source_column: str = "source", weights: Sequence[float] = WEIGHTS,
                    share: float = SHARE, most: float = MOST, seed: str = SEED,
