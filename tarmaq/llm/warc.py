@@ -17,13 +17,15 @@ from tarmaq.llm.common import arrow_map, row_key, stored, table
 from tarmaq.session import shared_folder
 
 #: Record blocks up to this many bytes are one record, longer ones are cut into continuations.
-SEGMENT_BYTES = 64 * 1024
+SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 8 * 1024
 #: Archives are closed at about this many bytes of payload.
 ARCHIVE_BYTES = 8 * 1024 * 1024
 #: Payloads of fewer bytes are always written in full.
 LEAST_REVISIT_BYTES = 0
 _END = b"\r\n\r\n"
+#: Headers that hold numbers, besides the length that parts the records.
+_NUMBERS = ("warc-segment-number", "warc-segment-total-length", "x-payload-length")
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -97,8 +99,18 @@ def segments(headers: dict[str, str], block: bytes, size: int = SEGMENT_BYTES
                 "WARC-Segment-Number": str(number)} | last, part
 
 
+def number_in(headers: dict[str, str], name: str) -> int | None:
+    """The header's number; none where it is missing or no plain number."""
+    value = headers.get(name, "")
+    return int(value) if re.fullmatch(r"[0-9]{1,9}", value) else None
+
+
 def parse(data: bytes) -> Iterator[Record]:
-    """All records of an archive, plain or compressed as a whole or record by record."""
+    """All records of an archive, plain or compressed as a whole or record by record.
+
+    A header that should be a number and is none makes the record a problem; without a length
+    nothing tells where the next record begins, so it is the last.
+    """
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
     at = 0
@@ -112,10 +124,15 @@ def parse(data: bytes) -> Iterator[Record]:
             return
         lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
         headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        length = int(headers.get("content-length", "-1"))
-        block = data[end + 4 : end + 4 + length] if length >= 0 else b""
-        cut = length < 0 or len(block) < length
-        yield Record(headers, block, "record cut short" if cut else "")
+        length = number_in(headers, "content-length")
+        if length is None:
+            yield Record(headers, problem="no content length")
+            return
+        block = data[end + 4 : end + 4 + length]
+        bad = [n for n in _NUMBERS if n in headers and number_in(headers, n) is None]
+        cut = len(block) < length
+        yield Record(headers, block, "record cut short" if cut else
+                     f"{bad[0]} is no number" if bad else "")
         if cut:
             return
         at = end + 4 + length
@@ -210,13 +227,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 out["page_id"].append(h.get("x-page-id"))
                 out["payload_digest"].append(
                     h.get("warc-payload-digest", "").removeprefix("sha1:") or None)
-                out["payload_length"].append(
-                    int(h["x-payload-length"]) if "x-payload-length" in h else None)
+                out["payload_length"].append(number_in(h, "x-payload-length"))
                 out["refers_to"].append(h.get("x-refers-to-page-id"))
                 out["origin"].append(h.get("warc-segment-origin-id") or h.get("warc-record-id"))
-                out["segment"].append(int(h.get("warc-segment-number", 0)))
-                out["total"].append(int(h["warc-segment-total-length"])
-                                    if "warc-segment-total-length" in h else None)
+                out["segment"].append(number_in(h, "warc-segment-number") or 0)
+                out["total"].append(number_in(h, "warc-segment-total-length"))
                 out["block"].append(r.block)
                 out["problem"].append(r.problem or None)
             yield out

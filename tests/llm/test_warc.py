@@ -78,6 +78,19 @@ def test_damaged_segments_are_told(spark, tmp_path):
     assert [r.problem for r in lost] == ["segments missing or repeated"]
 
 
+def test_damaged_numbers_are_told(spark, tmp_path):
+    for name, line in (("length", b"Content-Length: many"), ("none", b"X: y"),
+                       ("segment", b"WARC-Segment-Number: -\r\nContent-Length: 1"),
+                       ("payload", b"X-Payload-Length: \xff\r\nContent-Length: 1")):
+        (tmp_path / f"{name}.warc").write_bytes(
+            f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: {name}\r\n".encode()
+            + line + b"\r\n\r\nz\r\n\r\n")
+    found = {r.record_id: r.problem for r in read_archives(spark, str(tmp_path)).collect()}
+    assert found == {"length": "no content length", "none": "no content length",
+                     "segment": "warc-segment-number is no number",
+                     "payload": "x-payload-length is no number"}
+
+
 def test_chunked_framing():
     for payload in (b"", b"a", b"\r\n0\r\n\r\n" * 9):
         assert dechunked(chunked(payload, 4)) == payload
