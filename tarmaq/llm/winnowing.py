@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tarmaq.llm.common import row_key, stored, table
 
-#: Code points of a gram, and grams of a window.
-GRAM_CHARS = 6
-WINDOW_GRAMS = 16
+#: What a gram is made of: a character of a script that writes without spaces (Thai to Burmese, Khmer,
+#: Chinese and Japanese), or up to two others between white space.
+UNIT = (r"[฀-໿က-႟ក-៿぀-ヿ㐀-鿿]|"
+        r"[^\s฀-໿က-႟ក-៿぀-ヿ㐀-鿿]{1,2}")
+GRAM_UNITS = 3
+WINDOW_GRAMS = 9
 _POSITION_BITS = 31
 _LAST_POSITION = (1 << _POSITION_BITS) - 1
 
@@ -22,34 +25,33 @@ def _least_of(column: str, count: int, stride: int) -> Column:
         x, *[F.get(column, i + j * stride) for j in range(1, count)]))
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str, k: int = GRAM_CHARS,
+def with_fingerprint(df: DataFrame, text: str, name: str, k: int = GRAM_UNITS,
                      w: int = WINDOW_GRAMS) -> DataFrame:
     """Add ``name``, the fingerprint of ``text``: one number per chosen gram, in order of place.
 
     A number is ``hash << 31 | (2^31 - 1 - place)`` with 32 bits of hash; the least in each window
-    of ``w`` grams is kept, so of equal hashes the rightmost. Grams are ``k`` code points of the
-    text as it is, white space included, so they need no words and an insertion moves none but its
-    own. Any ``w + k - 1`` characters that two texts share hold a gram that both keep. A shorter text
-    is one gram or one window; an empty text, null included, has the one number of the empty gram.
-    ``df`` may have any other columns but ``name`` and those that start with it; ``w`` is a square.
+    of ``w`` grams is kept, so of equal hashes the rightmost. Any ``w + k - 1`` units that two
+    texts share hold a gram that both keep. A text of fewer units is one gram or one window; a
+    text without any, null included, has the one number of the empty gram. ``df`` may have any
+    other columns but ``name`` and those that start with it; ``w`` is a square.
 
     Each step is a projection that names its input twice, so that no lambda computes it again.
     """
     side = math.isqrt(w)
     if side * side != w:
         raise ValueError("the window must be a square number")
-    others, chars = df.columns, f"{name}__chars"
+    others, units = df.columns, f"{name}__units"
 
     def whole(column: str, cut: int) -> Column:
         """Without the last ``cut`` elements, which reach over the end; one stays."""
         return F.slice(column, F.lit(1), F.greatest(F.size(column) - cut, F.lit(1)))
 
-    df = df.select(*others, F.split(F.coalesce(F.col(text), F.lit("")), F.lit("")).alias(chars))
-    grams = F.transform(F.col(chars), lambda c, i: F.shiftleft(
-        F.xxhash64(c, *[F.get(chars, i + j) for j in range(1, k)])
+    df = df.select(*others, F.regexp_extract_all(
+        F.coalesce(F.col(text), F.lit("")), F.lit(UNIT), F.lit(0)).alias(units))
+    grams = F.transform(F.col(units), lambda u, i: F.shiftleft(
+        F.xxhash64(u, *[F.get(units, i + j) for j in range(1, k)])
         .bitwiseAND(F.lit(0xFFFFFFFF)), _POSITION_BITS) + (F.lit(_LAST_POSITION) - i))
-    # An empty text is split to one empty part.
-    df = df.select(*others, F.when(F.get(chars, F.lit(0)) != "", grams).otherwise(
+    df = df.select(*others, F.when(F.size(units) > 0, grams).otherwise(
         F.array(F.lit(_LAST_POSITION).cast("bigint"))).alias(name))
     df = df.select(*others, whole(name, k - 1).alias(name))
     df = df.select(*others, _least_of(name, side, 1).alias(name))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from tarmaq.llm.winnowing import (
+    UNIT,
     fingerprints_and_edits,
     hashes_of,
     likeness,
@@ -20,18 +22,22 @@ from tarmaq.llm.winnowing import (
 LAST = (1 << 31) - 1
 
 
-@pytest.mark.parametrize(("k", "w"), [(6, 16), (2, 4)])
+def units_of(text):
+    return re.findall(UNIT, text or "", flags=re.ASCII)
+
+
+@pytest.mark.parametrize(("k", "w"), [(3, 9), (2, 4)])
 def test_fingerprint(spark, k, w):
     rng = random.Random(6)
     texts = ["", None, " \n", "one", "a b c d e", "x " * 100, "字幕かな字幕" * 9, "y" * 70, "\U0001F600e\u0301 \u0e01\u0e32" * 8] + [
         " ".join(rng.choice("abc") for _ in range(rng.randint(1, 80))) for _ in range(30)]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    grams = {tuple(u[i : i + k]) for u in (t or "" for t in texts) for i in range(len(u))}
+    grams = {tuple(u[i : i + k]) for u in map(units_of, texts) for i in range(len(u))}
     hashes = {tuple(r.g): r.h & 0xFFFFFFFF for r in spark.createDataFrame(
         [(list(g),) for g in grams], "g array<string>").select(
         "g", F.xxhash64(*[F.get("g", F.lit(i)) for i in range(k)]).alias("h")).collect()}
     for row in with_fingerprint(df, "text", "fp", k, w).collect():
-        u = row.text or ""
+        u = units_of(row.text)
         count = max(1, len(u) - k + 1)
         keys = [(hashes[tuple(u[i : i + k])] << 31) + LAST - i for i in range(count)] if u else [
             LAST]
@@ -72,10 +78,16 @@ def test_query(spark):
     long = [r for r in found.values() if r.n_chars > 1000]
     assert sum(r.near_edited for r in long) / len(long) > 0.5
     assert sum(r.near_next for r in long) / len(long) < 0.1
-    changed = [(r, len((rows[i].text or "").split())) for i, r in enumerate(
-        found[x.doc_id] for x in rows) if r.fingerprint != r.edited_fingerprint]
-    short = [r for r, words in changed if words < 20]
-    assert len(short) > 1
+
+
+def test_short_texts_are_told(spark):
+    """Texts under 20 words of which the edit leaves three quarters, in a table with enough."""
+    folder = "/root/testdata/sf0.01"
+    words = {r.doc_id: len((r.text or "").split()) for r in spark.read.parquet(
+        f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    short = [r for r in op4_winnowing(spark, folder).collect()
+             if words[r.doc_id] < 20 and r.fingerprint != r.edited_fingerprint]
+    assert len(short) > 10
     assert statistics.mean(r.near_edited for r in short) > 0.3
     assert statistics.mean(r.near_next for r in short) < 0.1
 
@@ -88,9 +100,9 @@ def test_an_insertion_moves_only_its_own_grams(spark):
     prints = with_fingerprint(with_fingerprint(df, "a", "fa"), "b", "fb").select(
         hashes_of("fa").alias("ha"), hashes_of("fb").alias("hb"))
     assert prints.select(likeness("ha", "hb")).first()[0] > 0.9
-    # Any 21 shared characters hold a gram that both keep.
+    # Any 11 shared units hold a gram that both keep.
     for at in range(0, 570, 190):
-        part = spark.createDataFrame([("<" * 9 + thai[at : at + 21] + ">" * 9, thai)],
+        part = spark.createDataFrame([("<" * 9 + thai[at : at + 11] + ">" * 9, thai)],
                                      "a string, b string")
         both = with_fingerprint(with_fingerprint(part, "a", "fa"), "b", "fb").select(F.size(
             F.array_intersect(hashes_of("fa"), hashes_of("fb"))))
