@@ -100,6 +100,7 @@ def test_mix(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     database = duckdb.connect()
-    database.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        database.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     found = QUERIES[name](spark, DATA).toArrow()
     assert difference(found, database.sql(ORACLE_SQL[name]).to_arrow_table()) is None
