@@ -6,7 +6,7 @@ scan of its own rows and of the keys in the months it touches, not of the whole
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from tarmaq.plans import gold
 from tarmaq.sources.months import append_parts, in_parts, part_values, read_parts, replace_parts
 
 MONTH = "reference_month"
+_NEW = "__new"
 
 
 def month_of(flights: DataFrame) -> DataFrame:
@@ -27,13 +28,25 @@ def month_of(flights: DataFrame) -> DataFrame:
 def new_steps(arrived: DataFrame, known: DataFrame) -> DataFrame:
     """The distinct step keys of ``arrived`` that ``known`` does not hold; NULL equals NULL.
 
-    The month follows from the keys, so it takes part in the join only to prune: ``known`` should
-    be read from the months that ``arrived`` touches.
+    Copies and known steps are told in one group, so each side is shuffled once. The month follows
+    from the keys: ``known`` should be read from the months that ``arrived`` touches.
     """
-    steps = distinct_rows(arrived, gold.STEP_KEYS)
-    same = reduce(lambda a, b: a & b, [
-        steps[c].eqNullSafe(known[c]) for c in gold.STEP_KEYS])
-    return steps.join(known, same, "left_anti")
+    sides = [df.select(*gold.STEP_KEYS, F.lit(new).alias(_NEW))
+             for df, new in ((arrived, True), (known, False))]
+    dealt = sides[0].unionByName(sides[1]).repartition(*gold.STEP_KEYS)
+    told = dealt.groupBy(*gold.STEP_KEYS).agg(F.bool_and(_NEW).alias(_NEW))
+    return told.where(_NEW).drop(_NEW)
+
+
+def write_steps(steps: DataFrame, path: str, airlines: DataFrame, codes: DataFrame,
+                write: Callable[..., None],
+                kept: Callable[[DataFrame], DataFrame] = lambda fact: fact) -> None:
+    """Write the fact of distinct step keys by month, only the keys being shuffled for it.
+
+    ``write`` adds or replaces months; ``kept`` may leave out rows of the fact.
+    """
+    write(month_of(steps), path, MONTH,
+          lambda dealt: kept(gold.fact_of_steps(dealt.drop(MONTH), airlines, codes)))
 
 
 def add_arrivals(arrived: DataFrame, path: str, airlines: DataFrame, codes: DataFrame) -> list:
@@ -46,7 +59,7 @@ def add_arrivals(arrived: DataFrame, path: str, airlines: DataFrame, codes: Data
     like = gold.fact_flights(arrived, airlines, codes)
     known = read_parts(arrived.sparkSession, path, like).where(in_parts(MONTH, months))
     fresh = new_steps(arrived, known.select(*gold.STEP_KEYS))
-    append_parts(gold.fact_flights(fresh, airlines, codes), path, MONTH)
+    write_steps(fresh, path, airlines, codes, append_parts)
     return months
 
 
@@ -54,4 +67,4 @@ def rebuild_months(flights: DataFrame, months: list, path: str, airlines: DataFr
                    codes: DataFrame) -> None:
     """Build the fact of some months anew from the typed flights, and replace only those months."""
     chosen = month_of(flights).where(in_parts(MONTH, months)).drop(MONTH)
-    replace_parts(gold.fact_flights(chosen, airlines, codes), path, MONTH)
+    write_steps(distinct_rows(chosen, gold.STEP_KEYS), path, airlines, codes, replace_parts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -22,9 +22,16 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None,
-                    row_group_bytes: int | None = None) -> None:
-    """Write ``df`` clustered, in row groups of a given size or the format's own."""
-    writer = clustered(df, columns, files).write.mode("overwrite")
+                    row_group_bytes: int | None = None,
+                    derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Write ``df`` clustered, in row groups of a given size or the format's own.
+
+    ``derive`` makes the rows to write from rows of ``df``, row by row or by lookups, and keeps
+    the values of ``columns``; it runs after the sort, so only ``df`` is sampled, shuffled and
+    sorted. A lookup side too large to broadcast would deal the rows anew: derive first then.
+    """
+    dealt = clustered(df, columns, files)
+    writer = (dealt if derive is None else derive(dealt)).write.mode("overwrite")
     if row_group_bytes is not None:
         writer = writer.option("parquet.block.size", row_group_bytes)
     writer.parquet(path)

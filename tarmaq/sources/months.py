@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,21 +20,31 @@ def balanced(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", named(column))
 
 
-def replace_parts(df: DataFrame, path: str, column: str) -> None:
+def _dealt(df: DataFrame, column: str,
+           derive: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    dealt = balanced(df, column)
+    return dealt if derive is None else derive(dealt)
+
+
+def replace_parts(df: DataFrame, path: str, column: str,
+                  derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write ``df`` by ``column``; parts that it holds are replaced, all others stay as they are.
 
+    ``derive`` makes the rows to write from rows of ``df``, row by row or by lookups, and keeps
+    the value of ``column``; it runs after the rows are dealt, so only ``df`` is shuffled.
     Only parts with rows are touched, so an empty ``df`` changes nothing; to empty a part, drop
     its folder. The committer moves the new files of a part in place at the end of the job, and a
     failed job leaves the old ones. Readers of a part at that moment may see it empty: they should
     read between refreshes.
     """
-    balanced(df, column).write.mode("overwrite").option(
+    _dealt(df, column, derive).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
-def append_parts(df: DataFrame, path: str, column: str) -> None:
-    """Add rows to their parts."""
-    balanced(df, column).write.mode("append").partitionBy(column).parquet(path)
+def append_parts(df: DataFrame, path: str, column: str,
+                 derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Add rows to their parts; ``derive`` as in :func:`replace_parts`."""
+    _dealt(df, column, derive).write.mode("append").partitionBy(column).parquet(path)
 
 
 def part_values(df: DataFrame, column: str, most: int = 10_000) -> list:
