@@ -14,8 +14,12 @@ _SPACELESS = r"฀-໿က-႟ក-៿぀-ヿ㐀-鿿"
 #: without spaces (Thai to Burmese, Khmer, Chinese and Japanese), or up to two others beyond ASCII.
 #: ASCII comes first because a single range is matched much faster than the rest.
 UNIT = rf"[!-~]{{1,2}}|[{_SPACELESS}]|[^\x00-\x7F{_SPACELESS}]{{1,2}}"
+#: The longest beginning of a text after which a unit must begin, whatever follows.
+WHOLE_UNITS = rf"(?s)^.*[\x00-\x20\x7F{_SPACELESS}]"
 GRAM_UNITS = 3
 WINDOW_GRAMS = 9
+#: Ranges of documents, in their order, that a task is dealt: it gets about as many as any other.
+RANGES_PER_TASK = 8
 _POSITION_BITS = 31
 _LAST_POSITION = (1 << _POSITION_BITS) - 1
 
@@ -26,6 +30,10 @@ def _least_of(column: str, count: int, stride: int) -> Column:
         x, *[F.get(column, i + j * stride) for j in range(1, count)]))
 
 
+def _units(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str, k: int = GRAM_UNITS,
                      w: int = WINDOW_GRAMS) -> DataFrame:
     """Add ``name``, the fingerprint of ``text``: one number per chosen gram, in order of place.
@@ -35,23 +43,31 @@ def with_fingerprint(df: DataFrame, text: str, name: str, k: int = GRAM_UNITS,
     texts share hold a gram that both keep. A text of fewer units is one gram or one window; a
     text without any, null included, has the one number of the empty gram. ``df`` may have any
     other columns but ``name`` and those that start with it; ``w`` is a square.
+    """
+    units = f"{name}__units"
+    df = df.select(*df.columns, _units(F.coalesce(F.col(text), F.lit(""))).alias(units))
+    return _fingerprint_of_units(df, units, name, k, w).drop(units)
+
+
+def _fingerprint_of_units(df: DataFrame, units: str, name: str, k: int, w: int,
+                          first: Column | None = None) -> DataFrame:
+    """Add ``name``, the fingerprint of the array ``units``, of which the first has place ``first``.
 
     Each step is a projection that names its input twice, so that no lambda computes it again.
     """
     side = math.isqrt(w)
     if side * side != w:
         raise ValueError("the window must be a square number")
-    others, units = df.columns, f"{name}__units"
+    others = df.columns
+    last = F.lit(_LAST_POSITION) - (F.lit(0) if first is None else first)
 
     def whole(column: str, cut: int) -> Column:
         """Without the last ``cut`` elements, which reach over the end; one stays."""
         return F.slice(column, F.lit(1), F.greatest(F.size(column) - cut, F.lit(1)))
 
-    df = df.select(*others, F.regexp_extract_all(
-        F.coalesce(F.col(text), F.lit("")), F.lit(UNIT), F.lit(0)).alias(units))
     grams = F.transform(F.col(units), lambda u, i: F.shiftleft(
         F.xxhash64(u, *[F.get(units, i + j) for j in range(1, k)])
-        .bitwiseAND(F.lit(0xFFFFFFFF)), _POSITION_BITS) + (F.lit(_LAST_POSITION) - i))
+        .bitwiseAND(F.lit(0xFFFFFFFF)), _POSITION_BITS) + (last - i))
     df = df.select(*others, F.when(F.size(units) > 0, grams).otherwise(
         F.array(F.lit(_LAST_POSITION).cast("bigint"))).alias(name))
     df = df.select(*others, whole(name, k - 1).alias(name))
@@ -79,29 +95,39 @@ def digest(fingerprint: str) -> Column:
                   256)
 
 
-def neighbours(rows: DataFrame) -> DataFrame:
-    """``key, earlier_key, earlier_size`` in ascending order of ``id``, null last, ties by ``key``.
+def in_ranges(rows: DataFrame, ranges: int) -> DataFrame:
+    """``rows`` with ``range`` and ``guest``: ranges of ``place``, each with the next one's first.
 
-    The first row's neighbour is the last. ``rows`` has ``id, key, size``; rows with equal keys
-    take one place. Ranges of ids are ordered one by one, and only the last row of each range
-    meets those of the others.
+    ``place`` is any column that can be ordered and is never null. A range begins at a place that
+    occurs. Rows of that place come a second time, as guests of the range before, those of the
+    least place as guests of the last range. Only places are sorted to find the beginnings, and a
+    row finds its range in two steps: among the first beginnings of groups, then in one group.
     """
-    order = (F.col("id").asc_nulls_last(), F.col("key"))
-    ranged = stored(rows.distinct().repartitionByRange(*order).withColumn(
-        "range", F.spark_partition_id()), "ranges")
-    inside = Window.partitionBy("range").orderBy(*order)
-    placed = ranged.select(
-        "range", "key", "size", F.lag("key").over(inside).alias("earlier_key"),
-        F.lag("size").over(inside).alias("earlier_size"),
-        F.lead("key").over(inside).isNull().alias("ends"))
-    ranges = Window.orderBy("range")
-    whole = ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = placed.where("ends").select(
-        "range", *[F.coalesce(F.lag(c).over(ranges), F.last(c).over(whole)).alias(f"end_{c}")
-                   for c in ("key", "size")])
-    return placed.join(ends, "range").select(
-        "key", *[F.coalesce(f"earlier_{c}", f"end_{c}").alias(f"earlier_{c}")
-                 for c in ("key", "size")])
+    step = math.isqrt(ranges - 1) + 1
+    dealt = rows.select("place").repartitionByRange(ranges, "place")
+    begins = stored(dealt.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.min("place").alias("begin")).select("begin"), "ranges")
+    in_order = Window.orderBy("begin")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    number = F.row_number().over(in_order) - 1
+    members = begins.select(
+        "begin", F.lead("begin").over(in_order).alias("until"), number.alias("range"),
+        F.pmod(number - 1, F.count("*").over(whole).cast("int")).alias("before"),
+        F.floor(number / step).alias("group"))
+    groups = members.groupBy("group").agg(F.min("begin").alias("group_begin"),
+                                          F.max_by("until", "range").alias("group_until"))
+
+    def between(begin: str, until: str) -> Column:
+        return (F.col(begin) <= F.col("place")) & (
+            F.col(until).isNull() | (F.col("place") < F.col(until)))
+
+    # Both tables have fewer rows than ``ranges``.
+    found = rows.join(F.broadcast(groups), between("group_begin", "group_until")).join(
+        F.broadcast(members), "group").where(between("begin", "until"))
+    own = F.struct(F.col("range"), F.lit(False).alias("guest"))
+    guest = F.struct(F.col("before").alias("range"), F.lit(True).alias("guest"))
+    return found.select(*rows.columns, F.inline(F.when(
+        F.col("begin") == F.col("place"), F.array(own, guest)).otherwise(F.array(own))))
 
 
 def fingerprints_and_edits(documents: DataFrame, id_column: str = "doc_id",
@@ -110,30 +136,58 @@ def fingerprints_and_edits(documents: DataFrame, id_column: str = "doc_id",
 
     ``id, text, n_chars, edited, own, changed, own_hashes, changed_hashes, next_hashes``. The
     edited text has its last quarter replaced by the first as many characters of the next
-    document. The texts are shuffled once; besides them only those characters and the hashes for the
-    document before travel, so a text's own fingerprint is taken again rather than sent. Null texts
+    document, in ascending order of ``id``, null last. The texts are shuffled once, to ranges in
+    that order, and each text's fingerprint is taken once. That of the edited text follows from it
+    as far as both texts begin alike: only windows that reach over that are hashed again. Null texts
     are empty; rows that repeat entirely share a place in the order; a single document is its own
     neighbour; other columns are ignored.
     """
+    k, w = GRAM_UNITS, WINDOW_GRAMS
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     rows = documents.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"))
-    rows = rows.withColumn("key", row_key("id", "text"))
+    rows = rows.withColumn("place", F.struct(
+        F.col("id").isNull().alias("last"), "id", row_key("id", "text").alias("key")))
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = in_ranges(rows, RANGES_PER_TASK * tasks).repartition(tasks, "range")
+    ordered = ordered.sortWithinPartitions("range", "guest", "place")
+
     size = F.length("text")
-    links = neighbours(rows.select("id", "key", size.alias("size")))
-    # Both uses below read all three columns, so that Spark shuffles the texts once for them.
-    texts = rows.repartition("key")
-    copy = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-    found = with_fingerprint(
-        texts.withColumn("copy", copy).where("copy = 1").join(links, "key"), "text", "own")
-    head = F.substring("text", F.lit(1), F.floor(F.col("earlier_size") / 4).cast("int"))
-    # Each key is the earlier neighbour of exactly one.
-    received = found.select(F.col("earlier_key").alias("key"), head.alias("head"),
-                            hashes_of("own").alias("next_hashes"))
-    joined = texts.join(received, "key").select(
-        "id", "text", "next_hashes", F.concat(F.substring(
-            "text", F.lit(1), size - F.floor(size / 4).cast("int")), "head").alias("edited"))
-    both = with_fingerprint(with_fingerprint(joined, "text", "own"), "edited", "changed")
-    return both.select(
+    cut = F.floor(size / 4).cast("int")
+    alike = F.regexp_extract(F.substring("text", F.lit(1), size - cut), WHOLE_UNITS, 0)
+    # Units of both texts; behind ``n_alike`` of them the texts may differ. ``reach`` of these are in
+    # windows that end behind them, or share their gram with one that does.
+    reach = 2 * w + k - 3
+    place = ["range", "guest", "place", "id", "text"]
+    parted = ordered.select(*place, alike.alias("alike"))
+    parted = parted.select(
+        *place, F.length("alike").alias("alike_chars"), _units(F.col("alike")).alias("before"),
+        _units(F.substring("text", F.length("alike") + 1, size)).alias("after"))
+    place += ["alike_chars", "n_alike", "reaching"]
+    united = parted.select(
+        *place[:-2], F.size("before").alias("n_alike"), F.slice(
+            "before", F.greatest(F.size("before") - reach + 1, F.lit(1)), reach).alias("reaching"),
+        F.concat("before", "after").alias("units"))
+    found = _fingerprint_of_units(united, "units", "own", k, w).drop("units")
+
+    inside = Window.partitionBy("range")
+    following = inside.orderBy("rank").rangeBetween(1, 1)
+    found = found.withColumn("rank", F.dense_rank().over(inside.orderBy("guest", "place")))
+    found = found.withColumn("next", F.first(F.struct(
+        "text", hashes_of("own").alias("hashes"))).over(following)).where("NOT guest")
+
+    out = ["id", "text", "own", "alike_chars", "n_alike", "reaching"]
+    edited = F.concat(F.substring("text", F.lit(1), size - cut),
+                      F.substring("next.text", F.lit(1), cut))
+    found = found.select(*out, F.col("next.hashes").alias("next_hashes"), edited.alias("edited"))
+    out = ["id", "text", "own", "n_alike", "next_hashes", "edited"]
+    found = found.select(*out, F.concat("reaching", _units(F.substring(
+        "edited", F.col("alike_chars") + 1, F.length("edited")))).alias("units"))
+    found = _fingerprint_of_units(found, "units", "rest", k, w,
+                                  F.greatest(F.col("n_alike") - reach, F.lit(0)))
+    same = F.filter("own", lambda x: F.lit(_LAST_POSITION) - x.bitwiseAND(F.lit(_LAST_POSITION))
+                    < F.col("n_alike") - (w + k - 2))
+    found = found.withColumn("changed", F.array_distinct(F.concat(same, "rest")))
+    return found.select(
         "id", "text", size.cast("bigint").alias("n_chars"), "edited", "own", "changed",
         hashes_of("own").alias("own_hashes"), hashes_of("changed").alias("changed_hashes"),
         "next_hashes")

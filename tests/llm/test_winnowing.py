@@ -59,6 +59,40 @@ def test_edits_and_order(spark):
     assert fingerprints_and_edits(alone.where("false")).collect() == []
 
 
+def test_each_text_is_fingerprinted_once(spark):
+    """In the plan: one shuffle of the texts, and one hash of all units besides the edited end's."""
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(9)], "doc_id long, text string")
+    plan = fingerprints_and_edits(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(lambda ") == 2
+    assert plan.count("Repartition") == 1
+
+
+def test_the_edited_end_gives_the_whole_fingerprint(spark):
+    """Wherever the edit falls: in a unit, a run without spaces, next to marks of several units."""
+    rng = random.Random(12)
+    kinds = ["ab .", "\u0e01\u0e32x ", "\u5b57\u5e55", "\u00e9\U0001F600", "abc", "\x7f\n\t q\u3042\u00e9"]
+    texts = ["".join(rng.choice(kinds[i % 6]) for _ in range(rng.randint(0, 150)))
+             for i in range(240)]
+    rows = [(i // 2 if i % 9 else None, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows + rows[:20], "doc_id long, text string").repartition(5)
+    found = with_fingerprint(with_fingerprint(
+        fingerprints_and_edits(df), "text", "own_again"), "edited", "changed_again").collect()
+    assert len(found) == len(rows) + 20
+    for r in found:
+        assert r.own == r.own_again
+        assert r.changed == r.changed_again, (r.text, r.edited)
+    order = sorted({(r.id is None, r.id or 0, r.text) for r in found})
+    hashes = {r.text: set(r.own_hashes) for r in found}
+    by_id = {}
+    for last, i, text in order:
+        by_id.setdefault((last, i), []).append(text)
+    places = list(by_id)
+    for r in found:  # of documents with equal ids any may be the next
+        at = places.index((r.id is None, r.id or 0))
+        may = by_id[places[at]] + by_id[places[(at + 1) % len(places)]]
+        assert any(set(r.next_hashes) == hashes[t] for t in may)
+
+
 def test_query(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id")
     rows = rows.collect()
