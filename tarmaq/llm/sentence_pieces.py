@@ -26,9 +26,9 @@ DICTIONARY_WORD_CHARS = 48
 REMEMBERED_WORDS = 1 << 18
 #: The score of an unknown character, below the least score of a piece, as in the public library.
 UNKNOWN_PENALTY = 10.0
-#: Kinds of characters between which a text may be parted: letters and digits, underscores, spaces,
-#: line feeds, other signs.
-_KINDS = (r"[^\W_]", "_", " ", r"\n", r"[^\w \n]")
+#: Kinds of characters between which a text may be parted, the usual ones first, as they are tried
+#: in this order: spaces, letters and digits, other signs, line feeds, underscores.
+_KINDS = (" ", r"[^\W_]", r"[^\w \n]", r"\n", "_")
 #: Words that are counted or looked up together, and the characters of a text that holds as many.
 WORDS_AT_ONCE = 1 << 18
 LONG_TEXT = 1 << 20
@@ -38,7 +38,9 @@ def word_pattern(pieces: Iterable[str]) -> re.Pattern[str]:
     """Finds the words that no piece reaches over, derived from the pieces themselves.
 
     A text is parted between two kinds of characters only if no piece holds such a pair, so the
-    best segmentations of the words, joined, are the best one of the whole text.
+    best segmentations of the words, joined, are the best one of the whole text. Most words end
+    before a kind that none goes on with, such as a space: one look ahead tells that, before
+    the kinds behind are looked at one by one.
     """
     single = [re.compile(k) for k in _KINDS]
 
@@ -47,11 +49,18 @@ def word_pattern(pieces: Iterable[str]) -> re.Pattern[str]:
 
     crossed = {(kind(a), kind(b)) for p in pieces for a, b in zip(p, p[1:], strict=False)}
     runs = [f"{k}++" if (i, i) in crossed else k for i, k in enumerate(_KINDS)]
-    more = []
+    more, never = [], []
     for i, run in enumerate(runs):
         before = "|".join(k for j, k in enumerate(_KINDS) if j != i and (j, i) in crossed)
-        more += [f"(?<={before}){run}"] if before else []
-    return re.compile(f"(?:{'|'.join(runs)})" + (f"(?:{'|'.join(more)})*+" if more else ""))
+        if before:
+            more.append(f"(?<={before}){run}")
+        else:
+            never.append(_KINDS[i])
+    plain = "".join(k for k in never if k[0] != "[")
+    ends = "|".join([f"[{plain}]"] * bool(plain) + [k for k in never if k[0] == "["])
+    guard = f"(?!{ends})" if ends else ""
+    return re.compile(f"(?:{'|'.join(runs)})" + (
+        f"(?:{guard}(?:{'|'.join(more)}))*+" if more else ""))
 
 
 @dataclass(frozen=True)

@@ -21,6 +21,7 @@ from tarmaq.llm.sentence_pieces import (
     units,
     viterbi,
     word_groups,
+    word_pattern,
 )
 
 BYTES = range(1000, 1256)
@@ -67,6 +68,27 @@ def test_both_folds_find_the_best_segmentation(spark, pieces):
                    for score, found in segmentations(row.word, pieces))
 
 
+def test_words_end_where_no_piece_goes_on():
+    """For any crossings; with one look at the next character instead of all kinds behind it."""
+    kinds = {"a": 0, "é": 0, "7": 0, "_": 1, " ": 2, "\n": 3, ".": 4, "-": 4, "\t": 4}
+    rng = random.Random(4)
+    for _ in range(150):
+        share = rng.choice((0.05, 0.4, 0.9))
+        pieces = ["a", *(a + b for a in "a_ \n." for b in "é_ \n-" if rng.random() < share)]
+        crossed = {(kinds[p[0]], kinds[p[1]]) for p in pieces[1:]}
+        found = word_pattern(pieces)
+        for _ in range(20):
+            text = "".join(rng.choice(list(kinds)) for _ in range(30))
+            words = [text[0]]
+            for a, b in itertools.pairwise(text):
+                if (kinds[a], kinds[b]) in crossed:
+                    words[-1] += b
+                else:
+                    words.append(b)
+            assert found.findall(text) == words
+    assert r"(?:(?![ \n])" in word_pattern([" a", "aa", "a.", "..", "  "]).pattern.replace("_", "")
+
+
 @pytest.mark.parametrize("entries", [1, 1 << 20])
 def test_round_trip(spark, pieces, entries):
     texts = ["", None, "a b", " a  b ", "\n\nab\n a", "▁a ▁", "é😀\t", "ab" * 5000, " ", "a b"]
